@@ -141,13 +141,13 @@ def starting_offsets(offsets: DataFrame, position: str | int) -> DataFrame:
             "latest": F.col("high"),
             "committed": committed_or_zero(),
         }[position]
-    per_topic = offsets.groupBy("topic").agg(
-        F.map_from_entries(
-            F.array_sort(F.collect_list(F.struct(F.col("partition").cast("string"), start.alias("start"))))
-        ).alias("parts")
+    parts = F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("partition").cast("string"), start))))
+    per_topic = offsets.groupBy("topic").agg(F.to_json(parts).alias("parts"))
+    topics = F.transform(
+        F.array_sort(F.collect_list(F.struct("topic", "parts"))),
+        lambda t: F.concat(F.lit('"'), t["topic"], F.lit('":'), t["parts"]),
     )
-    per_query = per_topic.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("topic", "parts")))).alias("m"))
-    return per_query.select(F.to_json("m").alias("starting_offsets"))
+    return per_topic.agg(F.concat(F.lit("{"), F.array_join(topics, ","), F.lit("}")).alias("starting_offsets"))
 
 
 def audit_rows(positions: DataFrame, at: Column, group: str = CONSUMER_GROUP) -> DataFrame:

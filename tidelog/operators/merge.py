@@ -22,7 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidelog.operators.project import target_columns
-from tidelog.spec import Target
+from tidelog.schemas import STATE
+from tidelog.spec import Target, fields_read
 
 # Offsets per stretch: the largest group one task sees for a key.
 SPAN = 65536
@@ -133,24 +134,34 @@ def target_payload(target: Target) -> list[str]:
     return [name for name, _ in target.columns]
 
 
-def target_events(applied: DataFrame, target: Target) -> DataFrame:
-    """Applied events (``project.document_fields``) with the columns of one target."""
-    return applied.select(
-        target.key, *POSITION, "offset", "kafka_ts_ms", "event_ms", "is_delete", *target_columns(target)
-    )
+def target_states(states: DataFrame, target: Target) -> DataFrame:
+    """States over document fields as states over the columns of one target."""
+    return states.select(target.key, *STATE.names, *target_columns(target))
 
 
-def target_rows(resolved: DataFrame, target: Target) -> DataFrame:
-    """Resolved states in the layout of the target table."""
-    times = []
+def _times(target: Target) -> list[Column]:
+    times = [F.timestamp_millis("event_ms").alias(target.changed_at)]
     if target.inserted_at:
-        times.append(F.timestamp_millis("first_ms").alias(target.inserted_at))
-    times.append(F.timestamp_millis("event_ms").alias(target.changed_at))
-    return resolved.select(target.key, *target_payload(target), *times)
+        times.insert(0, F.timestamp_millis("first_ms").alias(target.inserted_at))
+    return times
+
 
+def stored_rows(resolved: DataFrame, target: Target) -> DataFrame:
+    """Resolved states over target columns in the layout of the table."""
+    return resolved.select(target.key, *target_payload(target), *_times(target))
 
-def replay(applied: DataFrame, target: Target, span: int = SPAN) -> DataFrame:
-    """The target table after applying a whole log."""
-    payload = target_payload(target)
-    states = collapse(target_events(applied, target), payload, target.key, span)
-    return target_rows(resolve(states, payload, target.key), target)
+
+def target_rows(resolved: DataFrame, target: Target) -> DataFrame:
+    """Resolved states over document fields in the layout of the table."""
+    return resolved.select(target.key, *target_columns(target), *_times(target))
+
+
+def replay(applied: DataFrame, *targets: Target, span: int = SPAN) -> list[DataFrame]:
+    """The target tables after applying a whole log (``project.document_fields``).
+
+    They share one collapse and one resolve over the fields any of them reads;
+    a plan that uses several of them shuffles the log once.
+    """
+    payload = fields_read(*targets)
+    resolved = resolve(collapse(applied, payload, span=span), payload)
+    return [target_rows(resolved, target) for target in targets]

@@ -63,12 +63,12 @@ def _in_ms(rows: DataFrame) -> DataFrame:
     )
 
 
-def _orders_flat(spark: SparkSession, sf: str) -> DataFrame:
-    return merge.replay(_applied(spark, sf), ORDERS_FLAT)
+def _targets(spark: SparkSession, sf: str) -> list[DataFrame]:
+    return merge.replay(_applied(spark, sf), ORDERS_FLAT, TRANSACTIONS)
 
 
-def _transactions(spark: SparkSession, sf: str) -> DataFrame:
-    return merge.replay(_applied(spark, sf), TRANSACTIONS)
+def _orders_flat(spark: SparkSession, sf: str) -> DataFrame:
+    return merge.replay(_applied(spark, sf), ORDERS_FLAT)[0]
 
 
 def _newest(metrics: DataFrame) -> Column:
@@ -85,7 +85,7 @@ def orders_flat_final(spark, sf):
 
 @query
 def transactions_final(spark, sf):
-    return _in_ms(_transactions(spark, sf))
+    return _in_ms(merge.replay(_applied(spark, sf), TRANSACTIONS)[0])
 
 
 @query
@@ -93,11 +93,9 @@ def merge_two_batches(spark, sf):
     """Two overlapping batches, the second one delivered twice, merged as states."""
     slot = F.col("offset") % 8
     batches = F.array_compact(F.array(F.when(slot <= 3, 1), F.when(slot >= 2, 2), F.when(slot >= 2, 3)))
-    batched = merge.target_events(_applied(spark, sf), ORDERS_FLAT).withColumn("batch", F.explode(batches))
-    payload = merge.target_payload(ORDERS_FLAT)
-    states = merge.collapse(batched, payload, apart=["batch"])
-    folded = merge.fold(states, payload)
-    return _in_ms(merge.target_rows(merge.resolve(folded, payload), ORDERS_FLAT))
+    batched = _applied(spark, sf).withColumn("batch", F.explode(batches))
+    states = merge.fold(merge.collapse(batched, ORDERS_FLAT.reads, apart=["batch"]), ORDERS_FLAT.reads)
+    return _in_ms(merge.target_rows(merge.resolve(states, ORDERS_FLAT.reads), ORDERS_FLAT))
 
 
 @query
@@ -114,7 +112,7 @@ def stream_orders_flat(spark, sf):
 @query
 def line_items_final(spark, sf):
     events = C.classify(parse_changes(X.item_log(spark, sf)))
-    return items.line_items(merge.replay(project.document_fields(events), LINE_ITEMS))
+    return items.line_items(merge.replay(project.document_fields(events), LINE_ITEMS)[0])
 
 
 # --- parsing, validation, routing -------------------------------------------
@@ -405,9 +403,10 @@ def insert_visible(spark, sf):
     )
     written = written.filter(~F.col("last.is_delete")).select("order_id", "last.*")
     stored = F.col("kafka_ts_ms") + (F.col("offset") * 37) % 2500
+    analytics, finance = _targets(spark, sf)
     return verify.insert_visible(
         written,
-        {"analytics": _orders_flat(spark, sf), "finance": _transactions(spark, sf)},
+        {"analytics": analytics, "finance": finance},
         "order_id",
         F.greatest(F.lit(0), stored - F.col("event_ms")),
     )
@@ -423,11 +422,8 @@ def delete_propagated(spark, sf):
     """Keys deleted for good, looked up in both targets."""
     applied = _applied(spark, sf)
     last = applied.groupBy("order_id").agg(F.max_by("is_delete", "offset").alias("gone"))
-    return verify.delete_propagated(
-        last.filter("gone"),
-        {"analytics": _orders_flat(spark, sf), "finance": _transactions(spark, sf)},
-        "order_id",
-    )
+    analytics, finance = _targets(spark, sf)
+    return verify.delete_propagated(last.filter("gone"), {"analytics": analytics, "finance": finance}, "order_id")
 
 
 @query
@@ -440,19 +436,20 @@ def duplicate_records(spark, sf):
 def duplicate_keys(spark, sf):
     """Keys that occur twice in a target after the log was applied twice: none."""
     applied = _applied(spark, sf)
-    twice = merge.replay(applied.unionByName(applied), ORDERS_FLAT)
+    twice = merge.replay(applied.unionByName(applied), ORDERS_FLAT)[0]
     return verify.duplicate_keys(twice, "order_id")
 
 
 @query
 def table_counts(spark, sf):
     events = C.classify(parse_changes(X.item_log(spark, sf)))
-    line_items = items.line_items(merge.replay(project.document_fields(events), LINE_ITEMS))
+    line_items = items.line_items(merge.replay(project.document_fields(events), LINE_ITEMS)[0])
+    orders_flat, transactions = _targets(spark, sf)
     return verify.table_counts(
         {
-            "analytics.orders_flat": _orders_flat(spark, sf),
+            "analytics.orders_flat": orders_flat,
             "analytics.line_items": line_items,
-            "finance.transactions": _transactions(spark, sf),
+            "finance.transactions": transactions,
         }
     )
 

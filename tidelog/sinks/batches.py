@@ -40,7 +40,7 @@ def write_batch(df: DataFrame, path: str, batch: Batch, by: tuple[str, ...] = ()
 
 
 def batch_schema(schema: StructType) -> StructType:
-    return StructType(schema.fields).add("stream", STRING).add("batch", BIGINT)
+    return StructType(list(schema.fields)).add("stream", STRING).add("batch", BIGINT)
 
 
 def create_dataset(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> None:

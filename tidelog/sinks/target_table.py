@@ -49,15 +49,14 @@ class TargetTable:
         create_dataset(self.spark, f"{self.path}/base", self._base_schema())
         create_dataset(self.spark, f"{self.path}/commits", COMMIT)
 
-    def append(self, applied: DataFrame, batch: Batch) -> None:
-        """Store one batch of applied events (``project.document_fields``)."""
-        states = merge.collapse(merge.target_events(applied, self.target), self.payload, self.target.key)
-        write_batch(states, f"{self.path}/changes", batch)
+    def append(self, states: DataFrame, batch: Batch) -> None:
+        """Store the states of one batch, collapsed from its applied events with the fields the target reads."""
+        write_batch(merge.target_states(states, self.target), f"{self.path}/changes", batch)
 
     def read(self, keys: Sequence[str] | None = None) -> DataFrame:
         """Current rows; with ``keys`` only those (a filter that reaches the Parquet scan)."""
         states = self._current_states(keys)
-        return merge.target_rows(merge.resolve(states, self.payload, self.target.key), self.target)
+        return merge.stored_rows(merge.resolve(states, self.payload, self.target.key), self.target)
 
     def compact(self, forget_deleted_before_ms: int | None = None) -> None:
         """Fold all states stored so far into a new version.
@@ -105,7 +104,7 @@ class TargetTable:
             place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
 
     def _base_schema(self) -> StructType:
-        return StructType(self.states.fields).add("version", BIGINT).add("bucket", BIGINT)
+        return StructType(list(self.states.fields)).add("version", BIGINT).add("bucket", BIGINT)
 
     def _bucket(self, key: Column) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 class Target:
     """One table fed by a collection.
 
-    ``columns`` maps a target column to a SQL expression over ``order_id`` (the
+    ``reads`` names the document fields it needs. ``columns`` maps a target column to a SQL expression over ``order_id`` (the
     key) and the spec's document fields. ``inserted_at`` names the column that
     keeps the first-seen time, ``changed_at`` the one holding the last change.
     """
@@ -21,6 +21,7 @@ class Target:
     database: str
     table: str
     key: str
+    reads: tuple[str, ...]
     columns: tuple[tuple[str, str], ...]
     changed_at: str
     inserted_at: str | None = None
@@ -41,6 +42,7 @@ ORDERS_FLAT = Target(
     database="analytics",
     table="orders_flat",
     key="order_id",
+    reads=("customer_id", "status", "city", "total"),
     columns=(
         ("customer_id", "customer_id"),
         ("status", "status"),
@@ -55,6 +57,7 @@ TRANSACTIONS = Target(
     database="finance",
     table="transactions",
     key="order_id",
+    reads=("status", "total"),
     columns=(
         ("txn_id", "concat('txn-', order_id)"),
         ("amount", "total"),
@@ -69,6 +72,7 @@ LINE_ITEMS = Target(
     database="analytics",
     table="line_items",
     key="order_id",
+    reads=("items",),
     columns=(("items", "items"),),
     changed_at="recorded_at",
 )
@@ -94,3 +98,8 @@ PRODUCTS = CollectionSpec(
 )
 
 SPECS = (ORDERS, PRODUCTS)
+
+
+def fields_read(*targets: Target) -> list[str]:
+    """Document fields that any of the targets needs."""
+    return list(dict.fromkeys(name for target in targets for name in target.reads))

@@ -10,13 +10,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.functions.times import ms_to_timestamp
 from tidelog.operators import classify as C
-from tidelog.operators import lag, project, quarantine
+from tidelog.operators import lag, merge, project, quarantine
 from tidelog.operators.parse import parse_changes
 from tidelog.schemas import COUNTERS, DOUBLE, METRICS, OFFSET_AUDIT, QUARANTINE, STRING, conform
 from tidelog.session import prepare
 from tidelog.sinks.batches import Batch, create_dataset, batch_schema, read_batches, stream_id, write_batch
 from tidelog.sinks.target_table import TargetTable
-from tidelog.spec import ORDERS, SPECS, CollectionSpec, Target
+from tidelog.spec import ORDERS, SPECS, CollectionSpec, Target, fields_read
 
 # Type of each target column.
 COLUMN_TYPES = {
@@ -85,9 +85,12 @@ def process_batch(records: DataFrame, store: Store, batch: Batch, specs: Sequenc
     events = C.classify(parse_changes(records, F.lit(received_ms), specs), specs)
     events = events.drop("document", "headers").persist()
     try:
-        applied = project.document_fields(events, store.spec)
+        # One shuffle of the events for all targets; the states are small.
+        fields = fields_read(*(table.target for table in store.tables.values()))
+        states = merge.collapse(project.document_fields(events, store.spec), fields).persist()
         for table in store.tables.values():
-            table.append(applied, batch)
+            table.append(states, batch)
+        states.unpersist()
         _write_metrics(events, store, batch, received_ms)
         rejected = quarantine.quarantine_records(events)
         write_batch(
