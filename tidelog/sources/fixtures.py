@@ -7,7 +7,7 @@ engine must produce. The whole table is used, and all work is row-local.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidelog.functions.times import timestamp_to_ms
 from tidelog.operators.project import metric_rows
@@ -18,8 +18,6 @@ ORDERS_TOPIC = "poc.mydb.orders"
 PRODUCTS_TOPIC = "poc.mydb.products"
 CUSTOMERS_TOPIC = "poc.mydb.customers"
 
-_RECORD = ("key", "value", "topic", "partition", "offset", "timestamp", "headers")
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
@@ -31,19 +29,27 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def _text(value: Column) -> Column:
+# The record texts are composed as SQL expressions: one expression string per
+# column keeps the plan quick to build.
+
+
+def _text(value: str) -> str:
     """A JSON string literal; the derived texts need no other escapes."""
-    return F.concat(F.lit('"'), value, F.lit('"'))
+    return f"concat('\"', {value}, '\"')"
 
 
-def _quoted(json: Column) -> Column:
+def _quoted(json: str) -> str:
     """JSON text as a JSON string literal (the connector's stringified form)."""
-    return _text(F.replace(json, F.lit('"'), F.lit('\\"')))
+    return _text(f"replace({json}, '\"', '\\\\\"')")
+
+
+def _object(*entries: tuple[str, str]) -> str:
+    parts = [f"concat('\"{name}\":', {value})" for name, value in entries]
+    return f"concat('{{', concat_ws(',', {', '.join(parts)}), '}}')"
 
 
-def _object(*entries: tuple[str, Column]) -> Column:
-    parts = [F.concat(F.lit(f'"{name}":'), value) for name, value in entries]
-    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+def _constant(value: str) -> str:
+    return f"'{value}'"
 
 
 def _as_source(log: DataFrame) -> DataFrame:
@@ -54,137 +60,111 @@ def _as_source(log: DataFrame) -> DataFrame:
     return log.coalesce(1 << 20)
 
 
-def object_id(k: Column) -> Column:
-    return F.lpad(F.lower(F.hex(k)), 24, "0")
+def object_id(k: str) -> str:
+    return f"lpad(lower(hex({k})), 24, '0')"
 
 
-def _oid_json(oid: Column) -> Column:
+def _oid_json(oid: str) -> str:
     return _object(("$oid", _text(oid)))
 
 
-def record_key(oid: Column) -> Column:
+def record_key(oid: str) -> str:
     return _object(("id", _quoted(_oid_json(oid))))
 
 
-def envelope(op: str | Column, ts: Column, after: Column) -> Column:
-    op = F.lit(op) if isinstance(op, str) else op
-    return _object(("op", _text(op)), ("ts_ms", ts.cast("string")), ("after", after), ("source", F.lit("{}")))
+def envelope(op: str, ts: str, after: str) -> str:
+    return _object(("op", _text(op)), ("ts_ms", f"cast({ts} AS STRING)"), ("after", after), ("source", "'{}'"))
 
 
 def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change log of ``orders``: inserts, updates, deletes, tombstones and nine kinds of odd records."""
-    k = F.col("o_orderkey")
     orders = spread(
         table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey", "o_totalprice")
-    ).select(
-        k.alias("k"),
-        timestamp_to_ms(F.col("o_orderdate").cast("timestamp")).alias("t0"),
-        object_id(k).alias("oid"),
-        F.concat(F.lit("cust-"), F.col("o_custkey").cast("string")).alias("customer"),
-        F.concat(F.lit("city-"), (k % 50).cast("string")).alias("city"),
-        F.col("o_totalprice").cast("string").alias("total"),
+    ).selectExpr(
+        "o_orderkey AS k",
+        "unix_millis(cast(o_orderdate AS TIMESTAMP)) AS t0",
+        f"{object_id('o_orderkey')} AS oid",
+        "concat('cust-', o_custkey) AS customer",
+        "concat('city-', o_orderkey % 50) AS city",
+        "cast(o_totalprice AS STRING) AS total",
+        "element_at(array('PAID', 'SHIPPED', 'CANCELLED'), cast((o_orderkey div 3) % 3 AS INT) + 1) AS paid",
     )
-    k, t0, oid, total = F.col("k"), F.col("t0"), F.col("oid"), F.col("total")
 
-    def doc(status: Column | str, total_json: Column, *more: tuple[str, Column], city=True, customer=True) -> Column:
-        status = F.lit(status) if isinstance(status, str) else status
-        entries = [("_id", _oid_json(oid))]
+    def doc(status: str, total: str, *more: tuple[str, str], city=True, customer=True) -> str:
+        entries = [("_id", _oid_json("oid"))]
         if customer:
-            entries.append(("customer_id", _text(F.col("customer"))))
+            entries.append(("customer_id", _text("customer")))
         entries.append(("status", _text(status)))
         if city:
-            entries.append(("city", _text(F.col("city"))))
-        return _object(*entries, ("total", total_json), *more)
-
-    def slot(n: int, when: Column, delay: int, value: Column, offset: int | None = None, retries: Column | None = None):
-        # Two types of the value column: text here, bytes after the explode.
-        return F.when(
-            when,
-            F.struct(
-                F.lit(n if offset is None else offset).cast("bigint").alias("slot"),
-                (t0 + delay).alias("ts"),
-                value.cast("string").alias("value"),
-                (F.lit(-1) if retries is None else retries).cast("bigint").alias("retries"),
-            ),
-        )
-
-    paid = F.element_at(F.array(*map(F.lit, ("PAID", "SHIPPED", "CANCELLED"))), ((F.floor(k / 3) % 3) + 1).cast("int"))
-    first_op = F.when(k % 5 == 0, "r").otherwise("c")
-    insert = envelope(first_op, t0, _quoted(doc("PENDING", total)))
-    decimal = _object(("$numberDecimal", _text(total)))
-    odd_ts = t0 + 300000
-    normal = doc("SHIPPED", total)
-    odd = (
-        F.when(k % 97 == 0, F.lit("not-valid-json"))
-        .when(k % 89 == 0, envelope("u", odd_ts, _quoted(doc("SHIPPED", total, customer=False))))
-        .when(k % 83 == 0, envelope("x", odd_ts, _quoted(normal)))
-        .when(k % 79 == 0, envelope("x", odd_ts, F.lit("null")))
-        .when(k % 73 == 0, envelope("u", odd_ts, F.lit('"{\\"_id\\": tru"')))
-        .when(k % 71 == 0, envelope("u", odd_ts, _quoted(doc("SHIPPED", _text(F.lit("abc"))))))
-        .when(
-            k % 67 == 0,
-            envelope(
-                "u",
-                odd_ts,
-                _quoted(doc("SHIPPED", total, ("loyalty", F.lit("7")), ("source_app", _text(F.lit("web"))))),
-            ),
-        )
-        .when(k % 61 == 0, F.lit('{"op":"c"} trailing'))
-        .when(k % 59 == 0, F.lit("[1]"))
-    )
-    slots = F.array(
-        slot(0, F.lit(True), 0, insert),
-        slot(1, k % 3 == 0, 60000, envelope("u", t0 + 60000, _quoted(doc(paid, decimal)))),
-        slot(2, k % 7 == 0, 30000, envelope("u", t0 + 30000, _quoted(doc("PAID", F.lit("null"), city=False)))),
-        slot(3, k % 10 == 0, 180000, envelope("d", t0 + 180000, F.lit("null"))),
-        slot(4, k % 10 == 0, 180000, F.lit(None)),
-        slot(5, k % 20 == 0, 240000, envelope("c", t0 + 240000, doc("PENDING", _text(total)))),
-        slot(6, odd.isNotNull(), 300000, odd, retries=k % 5),
-        slot(7, k % 53 == 0, 0, insert, offset=0),
+            entries.append(("city", _text("city")))
+        return _object(*entries, ("total", total), *more)
+
+    def slot(n: int, when: str, delay: int, value: str, retries: str = "-1") -> str:
+        fields = f"'slot', {n}L, 'ts', t0 + {delay}, 'value', cast({value} AS STRING), 'retries', cast({retries} AS BIGINT)"
+        return f"CASE WHEN {when} THEN named_struct({fields}) END"
+
+    pending, shipped = _constant("PENDING"), _constant("SHIPPED")
+    insert = envelope("IF(k % 5 = 0, 'r', 'c')", "t0", _quoted(doc(pending, "total")))
+    decimal = _object(("$numberDecimal", _text("total")))
+    odd_ts = "t0 + 300000"
+    drifted = doc(shipped, "total", ("loyalty", "'7'"), ("source_app", _text(_constant("web"))))
+    truncated = """'{"_id": tru'"""
+    odd = f"""CASE
+        WHEN k % 97 = 0 THEN 'not-valid-json'
+        WHEN k % 89 = 0 THEN {envelope("'u'", odd_ts, _quoted(doc(shipped, "total", customer=False)))}
+        WHEN k % 83 = 0 THEN {envelope("'x'", odd_ts, _quoted(doc(shipped, "total")))}
+        WHEN k % 79 = 0 THEN {envelope("'x'", odd_ts, "'null'")}
+        WHEN k % 73 = 0 THEN {envelope("'u'", odd_ts, _quoted(truncated))}
+        WHEN k % 71 = 0 THEN {envelope("'u'", odd_ts, _quoted(doc(shipped, _text(_constant("abc")))))}
+        WHEN k % 67 = 0 THEN {envelope("'u'", odd_ts, _quoted(drifted))}
+        WHEN k % 61 = 0 THEN '{{"op":"c"}} trailing'
+        WHEN k % 59 = 0 THEN '[1]' END"""
+    slots = [
+        slot(0, "true", 0, insert),
+        slot(1, "k % 3 = 0", 60000, envelope("'u'", "t0 + 60000", _quoted(doc("paid", decimal)))),
+        slot(2, "k % 7 = 0", 30000, envelope("'u'", "t0 + 30000", _quoted(doc(_constant("PAID"), "'null'", city=False)))),
+        slot(3, "k % 10 = 0", 180000, envelope("'d'", "t0 + 180000", "'null'")),
+        slot(4, "k % 10 = 0", 180000, "NULL"),
+        slot(5, "k % 20 = 0", 240000, envelope("'c'", "t0 + 240000", doc(pending, _text("total")))),
+        slot(6, "odd IS NOT NULL", 300000, "odd", retries="k % 5"),
+        # Re-delivery of slot 0 at its own offset.
+        slot(0, "k % 53 = 0", 0, insert),
+    ]
+    records = orders.selectExpr("*", f"{odd} AS odd").selectExpr(
+        "k", "oid", f"explode(filter(array({', '.join(slots)}), s -> s IS NOT NULL)) AS e"
     )
-    ev = orders.select("k", "oid", F.explode(F.filter(slots, lambda s: s.isNotNull())).alias("e"))
-    broker_ms = F.col("e.ts") + (k * 7) % 200 - F.when(k % 50 == 0, 220).otherwise(0)
-    header = F.array(
-        F.struct(F.lit("retry_count").alias("key"), F.col("e.retries").cast("string").cast("binary").alias("value"))
-    )
-    log = ev.select(
-        record_key(oid).cast("binary").alias("key"),
-        F.col("e.value").cast("binary").alias("value"),
-        F.lit(ORDERS_TOPIC).alias("topic"),
-        (k % 4).cast("int").alias("partition"),
-        (k * 8 + F.col("e.slot")).alias("offset"),
-        F.timestamp_millis(broker_ms).alias("timestamp"),
-        F.when(F.col("e.retries") >= 0, header).alias("headers"),
+    return _as_source(
+        records.selectExpr(
+            f"cast({record_key('oid')} AS BINARY) AS key",
+            "cast(e.value AS BINARY) AS value",
+            f"'{ORDERS_TOPIC}' AS topic",
+            "cast(k % 4 AS INT) AS partition",
+            "k * 8 + e.slot AS offset",
+            "timestamp_millis(e.ts + (k * 7) % 200 - IF(k % 50 = 0, 220, 0)) AS timestamp",
+            "CASE WHEN e.retries >= 0 THEN array(named_struct("
+            "'key', 'retry_count', 'value', cast(cast(e.retries AS STRING) AS BINARY))) END AS headers",
+        )
     )
-    return _as_source(log)
+
+
+_NO_HEADERS = "cast(NULL AS ARRAY<STRUCT<key: STRING, value: BINARY>>) AS headers"
 
 
 def product_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Insert records of ``part``; every eleventh document lacks its price."""
-    k = F.col("p_partkey")
-    doc = F.when(
-        k % 11 == 0,
-        _object(
-            ("_id", _text(k.cast("string"))), ("sku", _text(F.col("p_brand"))), ("name", _text(F.col("p_name")))
-        ),
-    ).otherwise(
-        _object(
-            ("_id", _text(k.cast("string"))),
-            ("sku", _text(F.col("p_brand"))),
-            ("name", _text(F.col("p_name"))),
-            ("price", F.col("p_retailprice").cast("string")),
-        )
-    )
+    base = [("_id", _text("cast(p_partkey AS STRING)")), ("sku", _text("p_brand")), ("name", _text("p_name"))]
+    priced = _object(*base, ("price", "cast(p_retailprice AS STRING)"))
+    doc = f"IF(p_partkey % 11 = 0, {_object(*base)}, {priced})"
     # Midnight of 2024-01-01 UTC plus one second per key.
-    ts = F.lit(1704067200000) + k * 1000
-    return table(spark, sf_dir, "part").select(
-        record_key(object_id(k)).cast("binary").alias("key"),
-        envelope("c", ts, _quoted(doc)).cast("binary").alias("value"),
-        F.lit(PRODUCTS_TOPIC).alias("topic"),
-        F.lit(0).alias("partition"),
-        k.alias("offset"),
-        F.timestamp_millis(ts).alias("timestamp"),
-        F.lit(None).cast("array<struct<key: string, value: binary>>").alias("headers"),
+    ts = "1704067200000 + p_partkey * 1000"
+    return table(spark, sf_dir, "part").selectExpr(
+        f"cast({record_key(object_id('p_partkey'))} AS BINARY) AS key",
+        f"cast({envelope(_constant('c'), ts, _quoted(doc))} AS BINARY) AS value",
+        f"'{PRODUCTS_TOPIC}' AS topic",
+        "0 AS partition",
+        "p_partkey AS offset",
+        f"timestamp_millis({ts}) AS timestamp",
+        _NO_HEADERS,
     )
 
 
@@ -208,48 +188,47 @@ def item_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max("l_extendedprice").alias("u2"),
             timestamp_to_ms(F.min("l_shipdate").cast("timestamp")).alias("t0"),
         )
+        .selectExpr("*", f"concat({object_id('k')}, '-', line) AS doc_id")
     )
-    k, line, t0 = F.col("k"), F.col("line"), F.col("t0")
-    doc_id = F.concat(object_id(k), F.lit("-"), line.cast("string"))
 
-    def item(n: int) -> Column:
+    def item(n: int) -> str:
         return _object(
-            ("sku", _text(F.concat(F.lit("sku-"), F.col(f"p{n}").cast("string")))),
-            ("qty", F.col(f"q{n}").cast("string")),
-            ("unit_price", F.col(f"u{n}").cast("string")),
+            ("sku", _text(f"concat('sku-', p{n})")),
+            ("qty", f"cast(q{n} AS STRING)"),
+            ("unit_price", f"cast(u{n} AS STRING)"),
         )
 
-    def doc(items: Column) -> Column:
+    def doc(items: str) -> str:
         return _object(
-            ("_id", _text(doc_id)),
-            ("customer_id", _text(F.lit("c"))),
-            ("status", _text(F.lit("PENDING"))),
-            ("items", F.concat(F.lit("["), items, F.lit("]"))),
+            ("_id", _text("doc_id")),
+            ("customer_id", _text(_constant("c"))),
+            ("status", _text(_constant("PENDING"))),
+            ("items", f"concat('[', {items}, ']')"),
         )
 
-    second = F.concat_ws(",", F.when(k % 13 == 0, F.lit('"gift"')), item(1), item(2))
-    versions = F.array(
-        F.struct(F.lit(0).cast("bigint").alias("n"), envelope("c", t0, _quoted(doc(item(1)))).alias("value")),
-        F.when(
-            line % 2 == 0,
-            F.struct(F.lit(1).cast("bigint").alias("n"), envelope("u", t0 + 60000, _quoted(doc(second))).alias("value")),
-        ),
-        F.when(
-            (k % 10 == 0) & (line == 1),
-            F.struct(F.lit(2).cast("bigint").alias("n"), envelope("d", t0 + 90000, F.lit("null")).alias("value")),
-        ),
+    def version(n: int, when: str, value: str) -> str:
+        return f"CASE WHEN {when} THEN named_struct('n', {n}L, 'value', {value}) END"
+
+    two = f"""concat_ws(',', IF(k % 13 = 0, '"gift"', NULL), {item(1)}, {item(2)})"""
+    versions = [
+        version(0, "true", envelope("'c'", "t0", _quoted(doc(item(1))))),
+        version(1, "line % 2 = 0", envelope("'u'", "t0 + 60000", _quoted(doc(two)))),
+        version(2, "k % 10 = 0 AND line = 1", envelope("'d'", "t0 + 90000", "'null'")),
+    ]
+    records = lines.selectExpr(
+        "k", "line", "t0", "doc_id", f"explode(filter(array({', '.join(versions)}), v -> v IS NOT NULL)) AS e"
     )
-    ev = lines.select("k", "line", "t0", F.explode(F.filter(versions, lambda v: v.isNotNull())).alias("e"))
-    log = ev.select(
-        _object(("id", _quoted(_text(doc_id)))).cast("binary").alias("key"),
-        F.col("e.value").cast("binary").alias("value"),
-        F.lit(ORDERS_TOPIC).alias("topic"),
-        (k % 4).cast("int").alias("partition"),
-        ((k * 8 + line) * 4 + F.col("e.n")).alias("offset"),
-        F.timestamp_millis(t0 + F.col("e.n") * 60000).alias("timestamp"),
-        F.lit(None).cast("array<struct<key: string, value: binary>>").alias("headers"),
+    return _as_source(
+        records.selectExpr(
+            f"cast({_object(('id', _quoted(_text('doc_id'))))} AS BINARY) AS key",
+            "cast(e.value AS BINARY) AS value",
+            f"'{ORDERS_TOPIC}' AS topic",
+            "cast(k % 4 AS INT) AS partition",
+            "(k * 8 + line) * 4 + e.n AS offset",
+            "timestamp_millis(t0 + e.n * 60000) AS timestamp",
+            _NO_HEADERS,
+        )
     )
-    return _as_source(log)
 
 
 def event_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,5 +303,5 @@ def live_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "orders")
         .filter(shipped | (k % 20 == 0) | (k % 10 != 0))
-        .select(object_id(k).alias("order_id"), status.alias("status"))
+        .select(F.expr(object_id("o_orderkey")).alias("order_id"), status.alias("status"))
     )
