@@ -70,10 +70,15 @@ def object_or_null(parsed: Column) -> Column:
     return F.when(whole, F.get(parsed, F.lit(0)))
 
 
-def parse_scalar(text: Column) -> Column:
-    """Text of exactly one JSON value of any kind, null if there is none."""
-    parsed = F.from_json(F.concat(F.lit("["), text, F.lit(f',"{END_MARK}"]')), ArrayType(StringType()), _STRICT)
-    return F.when((F.size(parsed) == 2) & (F.get(parsed, F.lit(1)) == END_MARK), F.get(parsed, F.lit(0)))
+def parse_value(text: Column) -> Column:
+    """Parse exactly one JSON value of any kind, for :func:`value_or_null`."""
+    return F.from_json(F.concat(F.lit("["), text, F.lit(f',"{END_MARK}"]')), ArrayType(StringType()), _STRICT)
+
+
+def value_or_null(parsed: Column) -> Column:
+    """Text of the value of a :func:`parse_value` result, null unless it was the only one."""
+    whole = (F.size(parsed) == 2) & (F.get(parsed, F.lit(1)) == END_MARK)
+    return F.when(whole, F.get(parsed, F.lit(0)))
 
 
 def is_empty_object(text: Column) -> Column:

@@ -52,9 +52,10 @@ def with_key_id(df: DataFrame, wanted: Column) -> DataFrame:
     df = df.withColumn("_key", J.parse_object(F.when(wanted, J.utf8_text(F.col("key"))), ["id"]))
     df = df.withColumn("_key_raw", J.object_or_null(F.col("_key"))["id"]).withColumn("_key_text", F.col("_key_raw"))
     df = J.coerce_extended(df, "_key_text")
+    df = df.withColumn("_key_value", J.parse_value(F.col("_key_text")))
     return df.withColumn(
-        "key_id", F.coalesce(J.parse_scalar(F.col("_key_text")), F.col("_key_raw"), F.lit(""))
-    ).drop("_key", "_key_raw", "_key_text")
+        "key_id", F.coalesce(J.value_or_null(F.col("_key_value")), F.col("_key_raw"), F.lit(""))
+    ).drop("_key", "_key_raw", "_key_text", "_key_value")
 
 
 def document_fields_read(specs: Sequence[CollectionSpec]) -> list[str]:
@@ -128,8 +129,8 @@ def parse_changes(
         "doc_size_bytes",
         "retry_count",
         F.when(F.col("_bad_envelope"), F.lit(ERROR_ENVELOPE))
-        .when(J.has_bad_number(F.col("_doc_text")), F.lit(ERROR_NUMBER))
         .when(F.col("_after").isNotNull() & F.col("_doc").isNull(), F.lit(ERROR_AFTER))
+        .when(J.has_bad_number(F.col("_doc_text")), F.lit(ERROR_NUMBER))
         .alias("parse_error"),
         F.col("_doc").isNotNull().alias("has_document"),
         *(F.col("_doc")[name].alias(f"f_{name}") for name in names),

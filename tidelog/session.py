@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -45,14 +44,14 @@ def local_session(cores: str | int = 8, app: str = "tidelog", memory: str = "8g"
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the checkpoint directory the cluster names.
+    """A fresh folder under the checkpoint directory the cluster names in ``spark.checkpoint.dir``.
 
     Only when the session names none (tests, single machine) a temporary
-    folder is made and set as the checkpoint directory.
+    folder becomes the checkpoint directory.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="tidelog-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    return os.path.join(root, "tidelog", f"{purpose}-{uuid.uuid4().hex}")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidelog-"))
+        root = context.getCheckpointDir()
+    return f"{root.rstrip('/')}/tidelog/{purpose}-{uuid.uuid4().hex}"
