@@ -13,7 +13,8 @@ from tidelog.sinks.batches import Batch, stream_id
 from tidelog.sources import fixtures as X
 from tidelog.sources.changes import read_from_files, stream_from_files, stream_quarantine_files
 from tidelog.spec import LINE_ITEMS, ORDERS, ORDERS_FLAT, TRANSACTIONS
-from tidelog.streaming.pipeline import Store, process_batch, start
+from tidelog.sinks.target_table import TargetTable
+from tidelog.streaming.pipeline import COLUMN_TYPES, Store, process_batch, start
 from tidelog.streaming.replay import start_replay
 
 
@@ -104,15 +105,21 @@ def test_compaction(spark, log, batch_result, tmp_path):
         process_batch(records.filter(f"partition % 3 = {n}"), store, Batch("s", n))
         table.compact()
     table.compact()  # nothing new: no further version
-    assert table._committed() == (3, {"s": 2})
+    assert table._committed() == (3, {"s": 2}, 4)
     assert rows_of(table.read()) == batch_result[0]
     table.expire()
     assert rows_of(table.read()) == batch_result[0]
     assert table._all_changes().count() == 0
     process_batch(records, store, Batch("t", 0))
     assert rows_of(table.read()) == batch_result[0]
+    wider = TargetTable(spark, table.path, ORDERS_FLAT, COLUMN_TYPES, buckets=7)
+    wider.compact()  # another number of buckets from here on
+    assert rows_of(table.read()) == batch_result[0]
     some = [r[0] for r in table.read().select("order_id").limit(2).collect()]
-    assert sorted(r["order_id"] for r in table.read(some).collect()) == sorted(some)
+    found = table.read(some)
+    assert sorted(r["order_id"] for r in found.collect()) == sorted(some)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "bucket IN (" in plan or "bucket#" in plan.split("PartitionFilters:")[1].split("]")[0]
 
 
 def test_deleted_keys_are_remembered_until_forgotten(spark, tmp_path):
@@ -125,7 +132,7 @@ def test_deleted_keys_are_remembered_until_forgotten(spark, tmp_path):
     process_batch(frame(spark, [insert]), store, Batch("s", 1))  # a late re-delivery
     assert table.read().count() == 0
     table.compact(forget_deleted_before_ms=TS + 1)
-    assert table._base(2).count() == 0
+    assert table._base(2, 2).count() == 0
 
 
 def test_first_seen_is_kept_across_batches(spark, tmp_path):

@@ -15,3 +15,13 @@ def one_row(*frames: DataFrame) -> DataFrame:
 
 def or_zero(value: Column) -> Column:
     return F.coalesce(value, F.lit(0).cast("double"))
+
+
+def never() -> Column:
+    """A test that is never true and keeps Spark from moving filters below its projection.
+
+    It looks at the task's partition id, so the optimizer must evaluate the
+    projection where it stands. Later filters then work on its outcome instead
+    of repeating costly expressions (JSON parsing) further down.
+    """
+    return F.spark_partition_id() < 0

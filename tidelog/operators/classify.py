@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidelog.functions import json_text as J
+from tidelog.functions.rows import never
 from tidelog.operators.parse import DELETE_OP, TOMBSTONE, WRITE_OPS
 from tidelog.spec import SPECS, CollectionSpec
 
@@ -112,10 +113,8 @@ def classify(parsed: DataFrame, specs: Sequence[CollectionSpec] = SPECS) -> Data
     The rules apply in the order written here. Every expression is total, so
     one bad event never fails the others of its batch.
 
-    The event columns go through a one-element ``explode``: filters on them are
-    then evaluated above the parse instead of being substituted down into the
-    scan, where the whole JSON work would be done again for each of them. The
-    document and its fields stay outside, so unused ones are still pruned.
+    The disposition is pinned (functions.rows.never): filters on the outcome do
+    not repeat the parse.
     """
     events = with_numbers(parsed, specs).withColumns(
         {
@@ -136,17 +135,15 @@ def classify(parsed: DataFrame, specs: Sequence[CollectionSpec] = SPECS) -> Data
     )
     events = events.withColumn("error", error)
     disposition = (
-        F.when(F.col("op") == TOMBSTONE, F.lit(SKIPPED_TOMBSTONE))
+        F.when(never(), F.lit(None).cast("string"))
+        .when(F.col("op") == TOMBSTONE, F.lit(SKIPPED_TOMBSTONE))
         .when(F.col("error").isNotNull(), F.lit(QUARANTINED))
         .when(~F.col("_routed"), F.lit(SKIPPED_NO_ROUTE))
         .when(F.col("op") == DELETE_OP, F.lit(DELETE))
         .otherwise(F.lit(UPSERT))
     )
     aside = {"_valid", "_routed", "_bad_field", "has_document", "document_empty", "ts_valid", "parse_error"}
-    settled = ("collection", "op", "ts_ms", "event_ms", "doc_id", "kafka_ts_ms", "doc_size_bytes", "retry_count", "error")
-    event = F.explode(F.array(F.struct(*settled, disposition.alias("disposition"))))
-    kept = [c for c in events.columns if c not in aside and c not in settled]
-    return events.select(*kept, event.alias("_event")).select(*kept, "_event.*")
+    return events.select(*(c for c in events.columns if c not in aside), disposition.alias("disposition"))
 
 
 def routes(events: DataFrame, specs: Sequence[CollectionSpec] = SPECS) -> DataFrame:

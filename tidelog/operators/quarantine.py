@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidelog.functions import json_text as J
+from tidelog.functions.rows import never
 from tidelog.functions.times import iso_text
 from tidelog.operators.classify import QUARANTINED
 from tidelog.operators.parse import RETRY_HEADER
@@ -65,7 +66,8 @@ def plan_replay(messages: DataFrame) -> DataFrame:
     count = F.when(F.col("_p.retry_count").isNull(), 0).otherwise(F.col("_p.retry_count").try_cast("int")) + 1
     df = df.withColumn("_count", count)
     action = (
-        F.when(F.col("_p").isNull() | (F.coalesce(F.col("_p.source_topic"), F.lit("")) == ""), SKIPPED)
+        F.when(never(), F.lit(None).cast("string"))
+        .when(F.col("_p").isNull() | (F.coalesce(F.col("_p.source_topic"), F.lit("")) == ""), SKIPPED)
         .when(F.col("_count").isNull(), SKIPPED)
         .when(F.col("_count") > MAX_RETRIES, DEAD)
         .otherwise(REPLAYED)
@@ -74,9 +76,9 @@ def plan_replay(messages: DataFrame) -> DataFrame:
         F.lit(RETRY_HEADER).alias("key"), F.col("_count").cast("string").cast("binary").alias("value")
     )
     rest = [c for c in messages.columns if c not in ("topic", "key", "value", "headers")]
-    plan = df.select(
+    return df.select(
         *rest,
-        F.explode(F.array(F.struct(action.alias("action")))).alias("_a"),
+        action.alias("action"),
         F.col("_count").alias("retry_count"),
         F.col("_p.source_topic").alias("topic"),
         F.encode(F.col("_p.raw_key"), "UTF-8").alias("key"),
@@ -84,7 +86,6 @@ def plan_replay(messages: DataFrame) -> DataFrame:
         F.array(header).alias("headers"),
         *(F.col("_p")[name].alias(name) for name in _PAYLOAD if name not in ("retry_count",)),
     )
-    return plan.select(F.col("_a.action").alias("action"), *(c for c in plan.columns if c != "_a"))
 
 
 def first_messages(messages: DataFrame, limit: int) -> DataFrame:

@@ -90,7 +90,8 @@ STATE = struct(
     event_ms=BIGINT,
 )
 
-COMMIT = struct(version=BIGINT, stream=STRING, batch=BIGINT)
+# One row per stream in a compacted version: the last batch folded into it.
+COMMIT = struct(version=BIGINT, stream=STRING, batch=BIGINT, buckets=BIGINT)
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:

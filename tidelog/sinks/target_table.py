@@ -28,9 +28,9 @@ from tidelog.spec import Target
 class TargetTable:
     """One target of a collection, stored under ``path``.
 
-    ``buckets`` splits the compacted version by key hash; aim at files of a few
-    hundred megabytes. Files are sorted by key, so a lookup by key skips what
-    it does not need by row-group statistics.
+    ``buckets`` splits the next compacted version by key hash; aim at files of a
+    few hundred megabytes. A lookup by key reads only the key's bucket, and
+    within it the row groups whose key range fits.
     """
 
     def __init__(self, spark: SparkSession, path: str, target: Target, column_types: dict[str, DataType], buckets: int = 64):
@@ -54,7 +54,7 @@ class TargetTable:
         write_batch(merge.target_states(states, self.target), f"{self.path}/changes", batch)
 
     def read(self, keys: Sequence[str] | None = None) -> DataFrame:
-        """Current rows; with ``keys`` only those (a filter that reaches the Parquet scan)."""
+        """Current rows; with ``keys`` only those, from their buckets and the batches since."""
         states = self._current_states(keys)
         return merge.stored_rows(merge.resolve(states, self.payload, self.target.key), self.target)
 
@@ -65,28 +65,29 @@ class TargetTable:
         back. ``forget_deleted_before_ms`` drops markers of keys whose last
         record is older than that.
         """
-        version, folded = self._committed()
+        version, folded, buckets = self._committed()
         # Positions first: batches arriving from here on stay in the change set.
         reached = self._changes(folded).groupBy("stream").agg(F.max("batch").alias("batch")).collect()
         reached = folded | {row["stream"]: row["batch"] for row in reached}
         if reached == folded:
             return
         pending = self._changes(folded).filter(_up_to(reached)).select(*self.states.names)
-        states = merge.fold(self._base(version).unionByName(pending), self.payload, self.target.key)
+        states = merge.fold(self._base(version, buckets).unionByName(pending), self.payload, self.target.key)
         if forget_deleted_before_ms is not None:
             states = _forget_deleted(states, self.target.key, forget_deleted_before_ms)
         bucketed = states.withColumn("version", F.lit(version + 1).cast("bigint")).withColumn(
-            "bucket", self._bucket(F.col(self.target.key))
+            "bucket", _bucket(F.col(self.target.key), self.buckets)
         )
+        # Rebalancing splits large and joins small buckets by their real size.
         (
-            bucketed.repartition(self.buckets, "bucket")
+            bucketed.hint("rebalance", "bucket")
             .sortWithinPartitions("bucket", self.target.key)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("version", "bucket")
             .parquet(f"{self.path}/base")
         )
-        rows = [(version + 1, stream, batch) for stream, batch in sorted(reached.items())]
+        rows = [(version + 1, stream, batch, self.buckets) for stream, batch in sorted(reached.items())]
         self.spark.createDataFrame(rows, COMMIT).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
 
     def expire(self) -> None:
@@ -94,7 +95,7 @@ class TargetTable:
 
         Run it while no reader still uses an older version.
         """
-        version, folded = self._committed()
+        version, folded, _ = self._committed()
         old = [f"{self.path}/base/version={v}" for v in range(1, version)]
         spent = self._all_changes().filter(_up_to(folded)).select("stream", "batch").distinct().collect()
         old += [f"{self.path}/changes/stream={r['stream']}/batch={r['batch']}" for r in spent]
@@ -106,17 +107,19 @@ class TargetTable:
     def _base_schema(self) -> StructType:
         return StructType(list(self.states.fields)).add("version", BIGINT).add("bucket", BIGINT)
 
-    def _bucket(self, key: Column) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.buckets))
+    def _committed(self) -> tuple[int, dict[str, int], int]:
+        """Current version, the last batch of each stream in it, and its buckets.
 
-    def _committed(self) -> tuple[int, dict[str, int]]:
-        """Current version and the last batch of each stream it contains: a row per checkpoint ever used."""
+        Read from the commit rows: one per version and checkpoint ever used.
+        """
         commits = self.spark.read.schema(COMMIT).parquet(f"{self.path}/commits")
-        newest = commits.groupBy("version").agg(F.collect_list(F.struct("stream", "batch")).alias("folded"))
+        newest = commits.groupBy("version").agg(
+            F.collect_list(F.struct("stream", "batch")).alias("folded"), F.max("buckets").alias("buckets")
+        )
         rows = newest.orderBy(F.desc("version")).limit(1).collect()
         if not rows:
-            return 0, {}
-        return rows[0]["version"], {r["stream"]: r["batch"] for r in rows[0]["folded"]}
+            return 0, {}, self.buckets
+        return rows[0]["version"], {r["stream"]: r["batch"] for r in rows[0]["folded"]}, rows[0]["buckets"]
 
     def _all_changes(self) -> DataFrame:
         return read_batches(self.spark, f"{self.path}/changes", self.states)
@@ -125,16 +128,24 @@ class TargetTable:
         """Batches after the folded ones; a filter on the partition columns, so only their files are read."""
         return self._all_changes().filter(~_up_to(folded))
 
-    def _base(self, version: int) -> DataFrame:
+    def _base(self, version: int, buckets: int, keys: Sequence[str] | None = None) -> DataFrame:
         base = self.spark.read.schema(self._base_schema()).parquet(f"{self.path}/base")
-        return base.filter(F.col("version") == version).select(*self.states.names)
+        base = base.filter(F.col("version") == version)
+        if keys is not None:
+            base = base.filter(F.col("bucket").isin([_bucket(F.lit(k), buckets) for k in keys]))
+        return base.select(*self.states.names)
 
     def _current_states(self, keys: Sequence[str] | None) -> DataFrame:
-        version, folded = self._committed()
-        states = self._base(version).unionByName(self._changes(folded).select(*self.states.names))
+        version, folded, buckets = self._committed()
+        base = self._base(version, buckets, keys)
+        states = base.unionByName(self._changes(folded).select(*self.states.names))
         return states.filter(F.col(self.target.key).isin(list(keys))) if keys is not None else states
 
 
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets).cast("bigint"))
+
+
 def _up_to(reached: dict[str, int]) -> Column:
     """Batches at or before the position of their stream."""
     test = F.lit(False)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -83,27 +85,40 @@ def process_batch(records: DataFrame, store: Store, batch: Batch, specs: Sequenc
     """
     received_ms = int(time.time() * 1000)
     events = C.classify(parse_changes(records, F.lit(received_ms), specs), specs)
-    events = events.drop("document", "headers").persist()
+    # Raw bytes are needed again only for rejected records.
+    rejected = F.col("disposition") == C.QUARANTINED
+    kept = {name: F.when(rejected, F.col(name)) for name in ("key", "value")}
+    events = events.drop("document", "headers", "timestamp").withColumns(kept).persist()
     try:
         # One shuffle of the events for all targets; the states are small.
         fields = fields_read(*(table.target for table in store.tables.values()))
         states = merge.collapse(project.document_fields(events, store.spec), fields).persist()
-        for table in store.tables.values():
-            table.append(states, batch)
+        states.count()
+        _together(store.spark, *(lambda t=table: t.append(states, batch) for table in store.tables.values()))
         states.unpersist()
-        _write_metrics(events, store, batch, received_ms)
-        rejected = quarantine.quarantine_records(events)
-        write_batch(
-            conform(rejected.filter(F.col("destination") == quarantine.QUEUED), QUARANTINE), store.path("dlq"), batch
+        records_out = quarantine.quarantine_records(events)
+        queued = conform(records_out.filter(F.col("destination") == quarantine.QUEUED), QUARANTINE)
+        counters = conform(C.count_dispositions(events), COUNTERS)
+        _together(
+            store.spark,
+            lambda: _write_metrics(events, store, batch, received_ms),
+            lambda: write_batch(queued, store.path("dlq"), batch),
+            lambda: write_batch(quarantine.dead_letters(records_out), store.path("dead"), batch, fmt="json"),
+            lambda: write_batch(counters, store.path("counters"), batch),
         )
-        write_batch(quarantine.dead_letters(rejected), store.path("dead"), batch, fmt="json")
-        write_batch(conform(C.count_dispositions(events), COUNTERS), store.path("counters"), batch)
         positions = events.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("committed"))
         write_batch(lag.audit_rows(positions, F.current_timestamp()), store.path("offset_audit"), batch)
     finally:
         events.unpersist()
 
 
+def _together(spark: SparkSession, *writes: Callable[[], None]) -> None:
+    """Run independent write jobs at the same time; the first failure is raised."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for job in [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]:
+            job.result()
+
+
 def _write_metrics(events: DataFrame, store: Store, batch: Batch, received_ms: int) -> None:
     """Timing rows, one per routed event, received and stored as a batch. They never stop the pipeline."""
     routed = events.filter(F.col("disposition").isin(C.UPSERT, C.DELETE))
