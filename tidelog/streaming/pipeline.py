@@ -83,6 +83,9 @@ def process_batch(records: DataFrame, store: Store, batch: Batch, specs: Sequenc
     Each write is idempotent per batch: Spark repeats a batch until all of it
     went through.
     """
+    # Spark turns adaptive execution off in the session of a stream. This one
+    # keeps no state, and without it every write makes a file per shuffle partition.
+    prepare(records.sparkSession)
     received_ms = int(time.time() * 1000)
     events = C.classify(parse_changes(records, F.lit(received_ms), specs), specs)
     # Raw bytes are needed again only for rejected records.

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.operators import quarantine
+from tidelog.session import prepare
 from tidelog.sinks.batches import Batch, stream_id, write_batch
 
 
 def replay_batch(messages: DataFrame, root: str, batch: Batch) -> None:
     """Write one batch of messages as ``replayed``, ``dead`` or a ``skipped`` count under ``root``."""
+    prepare(messages.sparkSession)
     plan = quarantine.plan_replay(messages).persist()
     try:
         write_batch(quarantine.replay_messages(plan), f"{root}/replayed", batch)
