@@ -168,7 +168,8 @@ def routed_rows(spark, sf):
 @query
 def delete_keys(spark, sf):
     """Document ids of deletes and tombstones, which only the record key holds."""
-    events = _order_events(spark, sf).filter(F.col("op").isin("d", "tombstone"))
+    wanted = F.col("disposition").isNotNull() & F.col("op").isin("d", "tombstone")
+    events = _order_events(spark, sf).filter(wanted)
     return events.select("op", "doc_id", "offset", "ts_ms")
 
 
