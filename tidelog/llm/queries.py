@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import packing, token_counts, url_filters
+from tidelog.llm import near_dup, packing, quality, token_counts, url_filters
 
 RULES = [
     ("com", "/", "allow"),
@@ -45,6 +45,10 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM judg
 """
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "representative")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -53,6 +57,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: value for name, value in globals().items() if name.startswith("op") and callable(value)}
 
