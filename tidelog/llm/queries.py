@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidelog.llm import near_dup, packing, quality, token_counts, url_filters
+from tidelog.llm import near_dup, packing, quality, secrets_scan, token_counts, url_filters
 
 RULES = [
     ("com", "/", "allow"),
@@ -57,6 +58,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets_scan.scan(table(spark, sf_dir, "documents")).filter("is_secret")
+    return found.select("doc_id", "start", F.length("candidate").alias("length"), F.sha2("candidate", 256).alias("secret_sha256"), "probability")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
