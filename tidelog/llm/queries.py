@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import near_dup, packing, quality, secrets_scan, token_counts, url_filters
+from tidelog.llm import decontaminate, near_dup, packing, quality, secrets_scan, token_counts, url_filters
 
 RULES = [
     ("com", "/", "allow"),
@@ -58,6 +58,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets_scan.scan(table(spark, sf_dir, "documents")).filter("is_secret")
     return found.select("doc_id", "start", F.length("candidate").alias("length"), F.sha2("candidate", 256).alias("secret_sha256"), "probability")
