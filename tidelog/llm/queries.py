@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import decontaminate, near_dup, packing, quality, secrets_scan, token_counts, url_filters
+from tidelog.llm import decontaminate, near_dup, packing, quality, secrets_scan, token_counts, url_filters, warc
 
 RULES = [
     ("com", "/", "allow"),
@@ -67,6 +67,10 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", F.length("candidate").alias("length"), F.sha2("candidate", 256).alias("secret_sha256"), "probability")
 
 
+def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(warc.responses(table(spark, sf_dir, "pages"))).drop("content")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
