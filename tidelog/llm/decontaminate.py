@@ -126,7 +126,25 @@ def passages(seeds: Seeds, hashes: np.ndarray, row: np.ndarray) -> list[tuple[in
     return list(zip(rows.tolist(), item[group].tolist(), low.tolist(), high.tolist()))
 
 
-def _slice(docs: DataFrame, bench: pa.Table, *, key: str, text: str, item_key: str, n: int, threshold: float) -> DataFrame:
+def best_scores(known: Seeds, data: np.ndarray, starts: np.ndarray, threshold: float) -> dict[tuple[int, int], tuple[float, int, int]]:
+    """Of each (row, item) that reaches the threshold: score, first word and word after the last of the best window."""
+    hashes, row = folded_words(data, starts)
+    found = passages(known, hashes, row)
+    found.sort(key=lambda p: p[3] - p[2])  # like sizes are aligned together
+    best: dict[tuple[int, int], tuple[float, int, int]] = {}
+    for i in range(0, len(found), 256):
+        part = found[i : i + 256]
+        own = [known.words[known.first[p[1]] : known.first[p[1] + 1]] for p in part]
+        for (r, item, low, high), words_, reached in zip(part, own, align(own, [hashes[p[2] : p[3]] for p in part]).tolist()):
+            whole = 2 * len(words_)
+            if reached >= max(threshold * whole, min(12, whole)):
+                begin = int(np.searchsorted(row, r))
+                best[r, item] = max(best.get((r, item), (0.0, 0, 0)), (reached / whole, low - begin, high - begin))
+    return best
+
+
+def _slice(docs: DataFrame, bench: pa.Table, *, key: str, text: str, item_key: str, n: int, threshold: float, found_rows: bool = True) -> DataFrame:
+    """The leaks of a slice of the benchmark, or else the documents without any."""
     spark = docs.sparkSession
     seeds = Seeds(bench.column(1).combine_chunks() if bench.num_rows else pa.array([], pa.string()), n)
     all_grams = spark.sparkContext.broadcast(seeds)
@@ -149,27 +167,26 @@ def _slice(docs: DataFrame, bench: pa.Table, *, key: str, text: str, item_key: s
     rare, items = spark.sparkContext.broadcast(seeds), bench.column(0).combine_chunks() if bench.num_rows else pa.array([], bench.schema.field(0).type)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = rare.value
         for batch in batches:
             for first, last, data, starts in blocks(batch.column(1)):
-                hashes, row = folded_words(data, starts)
-                found = passages(known, hashes, row)
-                found.sort(key=lambda p: p[3] - p[2])  # like sizes are aligned together
-                best: dict[tuple[int, int], tuple[float, int, int]] = {}
-                for i in range(0, len(found), 256):
-                    part = found[i : i + 256]
-                    own = [known.words[known.first[p[1]] : known.first[p[1] + 1]] for p in part]
-                    for (r, item, low, high), words_, reached in zip(part, own, align(own, [hashes[p[2] : p[3]] for p in part]).tolist()):
-                        whole = 2 * len(words_)
-                        if reached >= max(threshold * whole, min(12, whole)):
-                            begin = int(np.searchsorted(row, r))
-                            best[r, item] = max(best.get((r, item), (0.0, 0, 0)), (reached / whole, low - begin, high - begin))
+                best = best_scores(rare.value, data, starts, threshold)
                 if best:
-                    rows_, items_ = zip(*best)
+                    rows, found = zip(*best)
                     values = list(zip(*best.values()))
-                    columns = [batch.column(0).slice(first, last - first).take(pa.array(rows_)), items.take(pa.array(items_)), *(pa.array(v) for v in values)]
+                    columns = [batch.column(0).slice(first, last - first).take(pa.array(rows)), items.take(pa.array(found)), *(pa.array(v) for v in values)]
                     yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
 
+    def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, data, starts in blocks(batch.column(1)):
+                stays = np.ones(last - first, bool)
+                stays[[row for row, _ in best_scores(rare.value, data, starts, threshold)]] = False
+                part = batch.slice(first, last - first).filter(pa.array(stays))
+                if part.num_rows:
+                    yield part
+
+    if not found_rows:
+        return docs.select(F.struct("*").alias("doc"), F.col(text).alias("own_text")).mapInArrow(drop, T.StructType([T.StructField("doc", docs.schema), T.StructField("own_text", T.StringType())])).select("doc.*")
     schema = T.StructType(
         [
             T.StructField(key, docs.schema[key].dataType), T.StructField(item_key, _types[str(items.type)]),
@@ -182,22 +199,30 @@ def _slice(docs: DataFrame, bench: pa.Table, *, key: str, text: str, item_key: s
 _types = {"int64": T.LongType(), "int32": T.IntegerType(), "string": T.StringType(), "large_string": T.StringType()}
 
 
+def _slices(benchmark: DataFrame, item_key: str, item_text: str, slice_words: int) -> Iterator[pa.Table]:
+    items = benchmark.select(F.col(item_key), F.col(item_text))
+    size = F.size(F.split(F.coalesce(F.col(item_text), F.lit("")), r"[ \t-\r]+"))
+    total = items.agg(F.sum(size.cast("long"))).first()[0] or 0
+    slices = max(1, -(-total // slice_words))
+    for i in range(slices):
+        yield items.filter(F.pmod(F.xxhash64(*items.columns), F.lit(slices)) == i).orderBy(*items.columns).toArrow()
+
+
 def leaks(
     docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
     n: int = 3, threshold: float = 0.5, slice_words: int = 1_000_000,
 ) -> DataFrame:
     """One row per document and item that it holds: key, item_key, score, first_word, end_word (the window in the document)."""
     ship(docs.sparkSession)
-    items = benchmark.select(F.col(item_key), F.col(item_text))
-    size = F.size(F.split(F.coalesce(F.col(item_text), F.lit("")), r"[ \t-\r]+"))
-    total = items.agg(F.sum(size.cast("long"))).first()[0] or 0
-    slices = max(1, -(-total // slice_words))
-    parts = [items.filter(F.pmod(F.xxhash64(*items.columns), F.lit(slices)) == i).orderBy(*items.columns).toArrow() for i in range(slices)]
     options = {"key": key, "text": text, "item_key": item_key, "n": n, "threshold": threshold}
-    return reduce(DataFrame.unionByName, [_slice(docs, part, **options) for part in parts])
+    return reduce(DataFrame.unionByName, [_slice(docs, part, **options) for part in _slices(benchmark, item_key, item_text, slice_words)])
 
 
-def clean(docs: DataFrame, found: DataFrame, *, key: str = "doc_id") -> DataFrame:
-    """`docs` without the documents that hold an item."""
-    held = found.filter(F.col(key).isNotNull()).select(F.col(key).alias("leak_key")).distinct()
-    return docs.join(held, docs[key] == held["leak_key"], "left_anti")
+def clean(
+    docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_key: str = "item_id", item_text: str = "text", n: int = 3, threshold: float = 0.5, slice_words: int = 1_000_000
+) -> DataFrame:
+    """`docs`, all columns, without the documents that hold an item. Judged where they lie, without a join."""
+    ship(docs.sparkSession)
+    for part in _slices(benchmark, item_key, item_text, slice_words):
+        docs = _slice(docs, part, key="", text=text, item_key=item_key, n=n, threshold=threshold, found_rows=False)
+    return docs

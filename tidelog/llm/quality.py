@@ -95,8 +95,8 @@ def _with_row(hashes: np.ndarray, row: np.ndarray) -> np.ndarray:
     return mix(hashes + row.astype(U64) * U64(0x9E3779B97F4A7C15))
 
 
-def statistics(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """key, BASE, n_lines, base_failed, and the group of each document."""
+def statistics(docs: DataFrame, *, key: str | None = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """key, BASE, n_lines, base_failed, and the group of each document. Without a key, the whole document as `doc`."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,21 +104,25 @@ def statistics(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang
             if parts:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], *(pa.array(np.concatenate(c)) for c in zip(*parts))], names)
 
-    names = [key, "group_lang", "group_source", *BASE, "n_lines"]
-    kinds = [docs.schema[key].dataType, T.StringType(), T.StringType(), *[T.LongType()] * 6]
+    names = [key or "doc", "group_lang", "group_source", *BASE, "n_lines"]
+    kinds = [docs.schema[key].dataType if key else docs.schema, T.StringType(), T.StringType(), *[T.LongType()] * 6]
     schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)])
     ship(docs.sparkSession)
     own = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in (lang, source)]
-    found = docs.select(F.col(key), F.col(text), *own).mapInArrow(count, schema)
+    found = docs.select(F.col(key) if key else F.struct("*").alias("doc"), F.col(text), *own).mapInArrow(count, schema)
     return found.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
 
 
-def vectors(found: DataFrame, prior_words: int) -> DataFrame:
-    """Adds VECTOR to documents that pass the base rules."""
+def totals(found: DataFrame) -> tuple[float, float]:
+    """Characters and symbols per word, over the documents that pass the base rules."""
     passed = found.filter(~F.col("base_failed"))
-    total = passed.agg(*(F.sum(c).cast("double") for c in ("n_words", "word_chars", "n_symbols"))).first()
-    n, chars, symbols = (v or 0.0 for v in total)
-    length, symbol = (chars / n, symbols / n) if n else (1.0, 0.0)
+    n, chars, symbols = (v or 0.0 for v in passed.agg(*(F.sum(c).cast("double") for c in ("n_words", "word_chars", "n_symbols"))).first())
+    return (chars / n, symbols / n) if n else (1.0, 0.0)
+
+
+def vectors(found: DataFrame, total: tuple[float, float], prior_words: int) -> DataFrame:
+    """Adds VECTOR."""
+    length, symbol = total
     drawn = F.col("n_words") + F.lit(float(prior_words))
     return found.withColumns(
         {
@@ -221,17 +225,27 @@ def estimates(found: DataFrame, *, core: float, prior_docs: float, steps: int) -
     return now
 
 
+def _far() -> Column:
+    return F.when(~F.col("base_failed"), distance([F.col(m) for m in _CENTRE], {p: F.col(f"v{p[0]}{p[1]}") for p in _PAIRS}))
+
+
 def judge(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source",
-    core: float = 0.75, quantile: float = 0.999, prior_words: int = 60, prior_docs: float = 30.0, steps: int = 12,
+    core: float = 0.75, quantile: float = 0.999, prior_words: int = 60, prior_docs: float = 30.0, steps: int = 12, whole: bool = False,
 ) -> DataFrame:
-    """One row per document: key, BASE, base_failed, kept, distance (null where the base rules fail)."""
-    found = keep(statistics(docs, key=key, text=text, lang=lang, source=source), "statistics")
-    found = vectors(found, prior_words)
-    known = estimates(found, core=core, prior_docs=prior_docs, steps=steps)
-    d2 = distance([F.col(m) for m in _CENTRE], {p: F.col(f"v{p[0]}{p[1]}") for p in _PAIRS})
-    far = F.when(~F.col("base_failed"), d2)
+    """One row per document: key, BASE, base_failed, kept, distance (null where the base rules fail).
+
+    With `whole`, the documents that are kept instead, with all their columns; they are judged where they lie, without a
+    join on ids.
+    """
+    columns = {"text": text, "lang": lang, "source": source}
+    found = keep(statistics(docs, key=key, **columns), "statistics")
+    total = totals(found)
+    found = vectors(found, total, prior_words)
+    known = estimates(found, core=core, prior_docs=prior_docs, steps=steps).select(*_GROUP, *_CENTRE, *_INVERSE)
     limit = chi_square_quantile(quantile, _P)
-    return found.join(known.select(*_GROUP, *_CENTRE, *_INVERSE), _GROUP, "left").select(
-        key, *BASE, "base_failed", F.coalesce(far <= limit, F.lit(False)).alias("kept"), far.alias("distance")
-    )
+    kept = F.coalesce(_far() <= limit, F.lit(False))
+    if whole:
+        again = vectors(statistics(docs, key=None, **columns), total, prior_words)
+        return again.join(known, _GROUP, "left").filter(kept).select("doc.*")
+    return found.join(known, _GROUP, "left").select(key, *BASE, "base_failed", kept.alias("kept"), _far().alias("distance"))
