@@ -5,9 +5,9 @@
 3. Nodes that share a band are linked to two hubs of that bucket, not to each other, and each link is verified on the
    texts by the exact similarity. A pair of similarity 0.8 shares no band with probability 2e-5.
 4. Connected components of the verified links are the classes so far. Buckets whose members fall into several classes are
-   then searched exhaustively in blocks: members of different classes whose signatures may reach the threshold are
-   verified too, until nothing new is linked. So a member that resembles no hub is not lost, and a bucket whose members
-   are of one class, however large, costs no pair.
+   then searched exhaustively, block by block: members of different classes whose signatures may reach the threshold are
+   compared exactly, and links that join classes come back, fewer than a block has members. So a member that resembles
+   no hub is not lost, and a bucket whose members are of one class, however large, is not searched.
 
 Defined results. Words are runs of bytes other than space and 0x09-0x0D; a text of fewer words than a shingle is one
 shingle; a null text or one without words is alone in its class, unless it is equal to others; a null text counts as
@@ -20,10 +20,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,26 +60,10 @@ def hash_of(parts: np.ndarray) -> int:
     return total
 
 
-def _content(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits of each text's content, as two numbers."""
-    data, starts = flat(column)
-    view = memoryview(np.ascontiguousarray(data))
-    digests = b"".join(xxhash.xxh3_128_digest(view[a:b]) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()))
-    pairs = np.frombuffer(digests, ">i8").reshape(-1, 2).astype(np.int64)
-    return pairs[:, 0], pairs[:, 1]
-
-
-def sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """key, h1, h2 (the content) of each document."""
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, _content(batch.column(1)))], names)
-
-    names = [key, "h1", "h2"]
-    kinds = [docs.schema[key].dataType, T.LongType(), T.LongType()]
-    return docs.select(key, text).mapInArrow(digest, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)]))
+def content(text: str) -> dict[str, Column]:
+    """128 bits of a text's content, as two numbers."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return {"h1": F.xxhash64(F.lit(1), whole), "h2": F.xxhash64(F.lit(2), whole)}
 
 
 def signed(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
@@ -89,7 +71,7 @@ def signed(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, data, starts in blocks(batch.column(1)):
+            for first, last, data, starts in blocks(batch.column(3)):
                 part = batch.slice(first, last - first)
                 row, element, count = shingles(data, starts, size)
                 found = signatures(row, mix(element), count.astype(np.float64), last - first, BANDS * ROWS)
@@ -97,11 +79,11 @@ def signed(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
                 some = np.bincount(row, minlength=last - first) > 0
                 step = 4 * BANDS * ROWS
                 column = pa.array([raw[i * step : (i + 1) * step] if s else None for i, s in enumerate(some.tolist())], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, _content(part.column(1))), column], names)
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], column], names)
 
     names = [key, "h1", "h2", "signature"]
     kinds = [docs.schema[key].dataType, T.LongType(), T.LongType(), T.BinaryType()]
-    return docs.select(key, text).mapInArrow(sign, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)]))
+    return docs.select(key, *(c.alias(n) for n, c in content(text).items()), text).mapInArrow(sign, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)]))
 
 
 def band_keys(nodes: DataFrame) -> DataFrame:
@@ -117,9 +99,10 @@ def band_keys(nodes: DataFrame) -> DataFrame:
                 for i in range(ROWS):
                     keys = mix(keys * U64(0xA0761D6478BD642F) + found[:, :, i])
                 node = np.repeat(batch.column(0).to_numpy(), BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(keys.ravel().view(np.int64))], ["node", "bucket"])
+                band = np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows)
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(keys.ravel().view(np.int64)), pa.array(band)], ["node", "bucket", "band"])
 
-    return nodes.select("node", "signature").mapInArrow(cut, "node long, bucket long")
+    return nodes.select("node", "signature").mapInArrow(cut, "node long, bucket long, band int")
 
 
 def similarities(pairs: DataFrame, size: int) -> DataFrame:
@@ -154,7 +137,7 @@ def _buckets(bands: DataFrame) -> tuple[DataFrame, DataFrame]:
     other = F.xxhash64("node")
     hubs = bands.groupBy("bucket").agg(F.min("node").alias("first"), F.min(other).alias("second"), F.count("*").alias("n")).filter("n > 1")
     hubs = keep(hubs, "hubs")
-    return hubs, keep(bands.join(hubs, "bucket").select("bucket", "node", "first", (other == F.col("second")).alias("is_second")), "members")
+    return hubs, keep(bands.join(hubs, "bucket").select("bucket", "band", "node", "first", (other == F.col("second")).alias("is_second")), "members")
 
 
 def _hub_pairs(members: DataFrame) -> DataFrame:
@@ -167,44 +150,85 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _across(least_agreement: int):
-    """Pairs of a block, or of two, whose classes differ and whose signatures agree often enough."""
+def _links_across(size: int, threshold: float, least_agreement: int):
+    """Links that join different classes, among the members of a block or between two blocks.
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        sides = [rows[rows["side"] != 1], rows[rows["side"] != 0]]
-        found = []
-        if len(sides[0]) and len(sides[1]):
-            one, two = (np.frombuffer(b"".join(s["signature"]), "<u4").reshape(len(s), -1) for s in sides)
-            root = sides[1]["root"].to_numpy()
-            for i, (node, own) in enumerate(zip(sides[0]["node"].tolist(), sides[0]["root"].tolist())):
-                hit = np.flatnonzero(root != own)
-                hit = hit[(two[hit] == one[i]).sum(1) >= least_agreement]
-                found += [(node, other) for other in sides[1]["node"].to_numpy()[hit].tolist()]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+    A pair is looked at in the first bucket that it shares. Those whose signatures may reach the threshold are compared
+    exactly, unless links found before already join their classes; so a group returns fewer links than it has members.
+    """
+
+    def compare(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        side, band = rows["side"].to_numpy(), int(rows["band"][0].as_py())
+        node, root = rows["node"].to_numpy(), rows["root"].to_numpy()
+        raw, _ = flat(rows["signature"].combine_chunks())
+        signature = np.ascontiguousarray(raw).view("<u4").reshape(len(node), -1)
+        row, element, count = shingles(*flat(rows["text"].combine_chunks()), size)
+        _, element = np.unique(element, return_inverse=True)
+        at, total = np.searchsorted(row, np.arange(len(node) + 1)), np.bincount(row, count, len(node))
+        parent: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while x in parent:
+                x = parent[x]
+            return x
+
+        held, found = np.zeros(element.max(initial=-1) + 1, np.int64), []
+        ones, twos = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        for i in ones.tolist():
+            others = twos[(root[twos] != root[i]) & ((side[twos] == 1) | (twos > i))]
+            agree = signature[others] == signature[i]
+            others = others[(agree.sum(1) >= least_agreement) & (agree.reshape(len(others), BANDS, ROWS).all(2).argmax(1) == band)]
+            if not len(others):
+                continue
+            own = slice(at[i], at[i + 1])
+            held[element[own]] = count[own]
+            for j in others.tolist():
+                one, two = top(int(root[i])), top(int(root[j]))
+                theirs = slice(at[j], at[j + 1])
+                if one != two:
+                    common = int(np.minimum(held[element[theirs]], count[theirs]).sum())
+                    if common >= threshold * (total[i] + total[j] - common):
+                        parent[max(one, two)] = min(one, two)
+                        found.append((node[i], node[j]))
+            held[element[own]] = 0
+        one, two = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(one, pa.int64()), "b": pa.array(two, pa.int64())})
 
     return compare
 
 
-def _missed(members: DataFrame, nodes: DataFrame, roots: DataFrame, least_agreement: int) -> DataFrame:
-    """Pairs of different classes within a bucket that may reach the threshold."""
-    placed = members.select("bucket", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def _placed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """bucket, band, node, root, n, blocks of the members of buckets in which several classes meet."""
+    placed = members.select("bucket", "band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = keep(placed, "placed")
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).filter("low < high")
     mixed = keep(mixed.select("bucket", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("blocks"), "n"), "mixed")
-    rows = keep(placed.join(mixed, "bucket"), "mixed_members")
+    return keep(placed.join(mixed, "bucket"), "mixed_members")
+
+
+def _missed_in_small(rows: DataFrame) -> DataFrame:
+    """Pairs of different classes in buckets of few members."""
     few = rows.filter(F.col("n") <= FEW).select("bucket", "node", "root")
     other = few.select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    small = few.join(other, "bucket").filter("root < root_b").select(F.col("node").alias("a"), "b")
+    return _ordered(few.join(other, "bucket").filter("root < root_b").select(F.col("node").alias("a"), "b"))
+
+
+def _missed_in_large(rows: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
+    """Links between different classes in the other buckets."""
     # A block meets itself and every other block of its bucket; the pair of blocks is the group.
     many = rows.filter(F.col("n") > FEW).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    wanted = keep(nodes.select("node", "signature").join(many.select("node").distinct(), "node").join(texts, "node"), "wanted")
     each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = many.join(nodes.select("node", "signature"), "node").withColumn("other", each).select(
-        "bucket", "node", "root", "signature",
+    dealt = many.join(wanted, "node").withColumn("other", each).select(
+        "bucket", "band", "node", "root", "signature", "text",
         F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
     )
-    large = dealt.groupBy("bucket", "low", "high").applyInPandas(_across(least_agreement), "a long, b long")
-    return _ordered(small.unionByName(large))
+    # Four standard deviations below the threshold, in agreeing coordinates.
+    k = BANDS * ROWS
+    least_agreement = int(k * threshold - 4 * (k * threshold * (1 - threshold)) ** 0.5)
+    return dealt.groupBy("bucket", "low", "high").applyInArrow(_links_across(size, threshold, least_agreement), "a long, b long")
 
 
 def classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -214,46 +238,23 @@ def classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: i
     """
     ship(docs.sparkSession)
     found = keep(signed(docs, key, text, size), "signed")
-    content = ["h1", "h2"]
-    copies = found.groupBy(*content).agg(F.min(key).alias("least"), F.count("*").alias("copies"), F.first("signature").alias("signature"))
+    copies = found.groupBy("h1", "h2").agg(F.min(key).alias("least"), F.count("*").alias("copies"), F.first("signature").alias("signature"))
     nodes = keep(copies.withColumn("node", F.col("h1")), "nodes")
     hubs, members = _buckets(keep(band_keys(nodes), "bands"))
     candidates = keep(_hub_pairs(members), "candidates")
     # Texts of the nodes that occur in a bucket, once each.
-    wanted = nodes.select("node", "least", *content).join(members.select("node").distinct(), "node")
-    held = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    held = sketch_with_text(held, key).join(wanted.withColumnRenamed("least", key), [*content, key]).select("node", "text").dropDuplicates(["node"])
-    texts = keep(held, "texts")
+    wanted = nodes.select("node", "least", "h1", "h2").join(members.select("node").distinct(), "node")
+    held = docs.select(F.col(key).alias("least"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumns(content("text"))
+    same = [held[c].eqNullSafe(wanted[c]) for c in ("least", "h1", "h2")]
+    texts = keep(held.join(wanted, (held["h1"] == wanted["h1"]) & same[0] & same[2]).select("node", "text").dropDuplicates(["node"]), "texts")
     links = keep(_verified(candidates, texts, size, threshold), "links")
-    # Four standard deviations below the threshold, in agreeing coordinates.
-    k = BANDS * ROWS
-    least_agreement = int(k * threshold - 4 * (k * threshold * (1 - threshold)) ** 0.5)
-    tried = candidates
-    roots = components(links)
-    while True:
-        more = keep(_missed(members, nodes, roots, least_agreement).join(tried, ["a", "b"], "left_anti"), "more")
-        new = keep(_verified(more, texts, size, threshold), "new")
-        if new.isEmpty():
-            break
-        tried = tried.unionByName(more)
-        links = links.unionByName(new)
-        roots = components(links)
+    rows = _placed(members, components(links))
+    small = keep(_missed_in_small(rows).join(candidates, ["a", "b"], "left_anti"), "small")
+    more = _verified(small, texts, size, threshold).unionByName(_missed_in_large(rows, nodes, texts, size, threshold))
+    roots = components(links.unionByName(keep(more, "more")))
     return _result(found, nodes, roots, key)
 
 
-def sketch_with_text(docs: DataFrame, key: str) -> DataFrame:
-    """Adds the content hashes to id and text."""
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, _content(batch.column(1)))], names)
-
-    names = [key, "text", "h1", "h2"]
-    kinds = [docs.schema[key].dataType, T.StringType(), T.LongType(), T.LongType()]
-    return docs.select(key, "text").mapInArrow(digest, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)]))
-
-
 def _result(found: DataFrame, nodes: DataFrame, roots: DataFrame, key: str) -> DataFrame:
     placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     whole = placed.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"), F.min(F.when(F.col("least").isNotNull(), F.col("least"))).alias("lead"))
@@ -262,3 +263,17 @@ def _result(found: DataFrame, nodes: DataFrame, roots: DataFrame, key: str) -> D
     return found.select(key, "h1", "h2").join(named, ["h1", "h2"]).select(
         key, "h1", "h2", "class_id", "class_size", (F.col("lead") & F.col(key).eqNullSafe(F.col("class_id"))).alias("representative")
     )
+
+
+def thin(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = 5, threshold: float = 0.8) -> DataFrame:
+    """`docs`, all columns, with one document of each class: the one of the least id (of equal rows, one)."""
+    kept = classes(docs, key=key, text=text, size=size, threshold=threshold).filter("representative")
+    kept = keep(kept.groupBy(F.col(key).alias("kept_key"), F.col("h1").alias("k1"), F.col("h2").alias("k2")).agg(F.count("*").alias("same_rows")), "kept")
+    names = [f"own_{i}" for i in range(len(docs.columns))]  # whatever the columns are called
+    own = dict(zip(docs.columns, names))
+    held = docs.toDF(*names).withColumns(content(own[text]))
+    held = held.join(kept, (held["h1"] == kept["k1"]) & (held["h2"] == kept["k2"]) & held[own[key]].eqNullSafe(kept["kept_key"]))
+    if not kept.filter("same_rows > 1").isEmpty():
+        again = held.filter("same_rows > 1").dropDuplicates([own[key], "h1", "h2"])
+        held = held.filter("same_rows = 1").unionByName(again)
+    return held.select(*names).toDF(*docs.columns)
