@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import decontaminate, lm_scoring, near_dup, packing, quality, secrets_scan, token_counts, url_filters, warc
+from tidelog.llm import decontaminate, lm_scoring, near_dup, packing, quality, secrets_scan, suffix_dedup, token_counts, url_filters, warc
 
 RULES = [
     ("com", "/", "allow"),
@@ -62,6 +62,11 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove(table(spark, sf_dir, "documents"))
+    return kept.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets_scan.scan(table(spark, sf_dir, "documents")).filter("is_secret")
     return found.select("doc_id", "start", F.length("candidate").alias("length"), F.sha2("candidate", 256).alias("secret_sha256"), "probability")

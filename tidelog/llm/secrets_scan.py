@@ -129,6 +129,8 @@ def redact(docs: DataFrame, judged: DataFrame, *, key: str = "doc_id", text: str
     A document's secrets are distinct strings, so the list joined to it is no longer than its text.
     """
     secrets = judged.filter("is_secret").groupBy(F.col(key).alias("secret_key")).agg(F.collect_set("candidate").alias("secrets"))
-    cleaned = F.aggregate(F.array_sort("secrets", lambda a, b: F.length(b) - F.length(a)), F.col(text), lambda t, s: F.replace(t, s, F.lit(mask)))
-    joined = docs.join(secrets, docs[key].eqNullSafe(F.col("secret_key")), "left")
-    return joined.withColumn(text, F.when(F.col("secrets").isNull(), F.col(text)).otherwise(cleaned)).select(docs.columns)
+    names = [f"own_{i}" for i in range(len(docs.columns))]  # whatever the columns are called
+    own = dict(zip(docs.columns, names))
+    masked = F.aggregate(F.array_sort("secrets", lambda a, b: F.length(b) - F.length(a)), F.col(own[text]), lambda t, s: F.replace(t, s, F.lit(mask)))
+    joined = docs.toDF(*names).join(secrets, F.col(own[key]).eqNullSafe(F.col("secret_key")), "left")
+    return joined.withColumn(own[text], F.when(F.col("secrets").isNull(), F.col(own[text])).otherwise(masked)).select(*names).toDF(*docs.columns)
