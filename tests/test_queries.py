@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import database, differences
+from tidelog.plans import catalog, expected
 
-NAMES = sorted(entry_points.queries())
+NAMES = sorted(catalog.all_queries())
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +15,8 @@ def con(sf_dir):
 
 
 def test_every_query_has_an_expectation():
-    assert set(NAMES) == set(entry_points.oracle_sql())
+    assert set(NAMES) == set(expected.all_expected())
+    assert set(NAMES) <= set(entry_points.queries()) and set(NAMES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
