@@ -217,3 +217,18 @@ def test_per_minute_stream(spark, streamed, tmp_path):
     out = kpi.per_minute(metrics).writeStream.format("memory").queryName("per_minute").outputMode("complete")
     out.trigger(availableNow=True).start().awaitTermination()
     assert spark.table("per_minute").agg(F.sum("n")).first()[0] == store.metrics().count()
+
+
+def test_extreme_times_do_not_poison_the_table(spark, tmp_path, sf_dir):
+    """Times that no timestamp holds are quarantined; the largest that one holds are stored and read back."""
+    from tidelog.sources.fixtures import extreme_log
+    from tidelog.streaming.pipeline import Store, process_batch
+    from tidelog.sinks.batches import Batch
+
+    store = Store(spark, f"{tmp_path}/extreme", buckets=2).create()
+    log = extreme_log(spark, sf_dir)
+    process_batch(log, store, Batch("s", 0))
+    stored = store.tables["orders_flat"].read().select(F.unix_millis("updated_at").alias("ms")).distinct().collect()
+    assert {r["ms"] for r in stored} == {9223372036854775, -9223372036854775, 1704067200000}
+    assert store.quarantine().count() == log.filter("offset % 6 < 2").count()
+    assert store.metrics().agg(F.max("e2e_lat_ms")).first()[0] > 2**31

@@ -5,6 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+#: Largest distance from 1970 in ms that a timestamp (64-bit microseconds) holds.
+MAX_MS = 9_223_372_036_854_775
+
+
+def is_timestamp_ms(ms: Column) -> Column:
+    """Whether the milliseconds can become a timestamp; null stays null."""
+    return ms.between(-MAX_MS, MAX_MS)
+
+
 def ms_to_timestamp(ms: Column) -> Column:
     return F.timestamp_millis(ms)
 
@@ -19,12 +28,8 @@ def or_ingest_time(ts_ms: Column, ingest_ms: Column) -> Column:
 
 
 def latency(start_ms: Column, end_ms: Column) -> Column:
-    """Milliseconds between two clocks, never negative.
-
-    Kept in 64 bits until the clamp; a span beyond 24 days saturates rather
-    than failing the cast to INT.
-    """
-    return F.least(F.greatest(F.lit(0), end_ms - start_ms), F.lit(2147483647)).cast("int")
+    """Milliseconds between two clocks, never negative, in 64 bits."""
+    return F.greatest(F.lit(0).cast("bigint"), end_ms - start_ms)
 
 
 def clock_text(ms: Column) -> Column:

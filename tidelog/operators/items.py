@@ -21,6 +21,6 @@ def line_items(orders: DataFrame, items: str = "items", key: str = "order_id") -
     return entry.select(
         key,
         text["sku"].alias("sku"),
-        text["qty"].try_cast("double").cast("int").alias("qty"),
+        J.number_or_null(text["qty"]).alias("qty"),
         J.number_or_null(text["unit_price"]).alias("unit_price"),
     )

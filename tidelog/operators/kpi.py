@@ -24,15 +24,21 @@ _AVERAGES = {
 _NEWEST = ("recorded_at", "topic", "partition", "offset")
 
 
+def _within() -> list[Column]:
+    return [F.count_if(F.col("recorded_at") > F.col("_as_of") - F.expr(length)).alias(name) for name, length in WINDOWS.items()]
+
+
 def throughput(metrics: DataFrame, as_of: Column) -> DataFrame:
-    """Rows recorded within the last minutes before ``as_of``, one row."""
-    marked = metrics.select("recorded_at", as_of.alias("as_of"))
-    return marked.agg(
-        *(
-            F.count_if(F.col("recorded_at") > F.col("as_of") - F.expr(length)).alias(name)
-            for name, length in WINDOWS.items()
-        )
-    )
+    """Rows recorded within the last minutes before ``as_of``, one row.
+
+    Only those minutes are read: the filter reaches the scan, and prunes the
+    ``day`` partitions of a stored metrics dataset.
+    """
+    since = as_of - F.expr(max(WINDOWS.values(), key=lambda w: int(w.split()[1])))
+    recent = metrics.filter(F.col("recorded_at") > since)
+    if "day" in metrics.columns:
+        recent = recent.filter(F.col("day") >= F.to_date(since))
+    return recent.select("recorded_at", as_of.alias("_as_of")).agg(*_within())
 
 
 def kpis(metrics: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -42,14 +48,15 @@ def kpis(metrics: DataFrame, as_of: Column | None = None) -> DataFrame:
     database behind the original reports does for its numeric and double types.
     """
     as_of = F.current_timestamp() if as_of is None else as_of
-    totals = metrics.agg(
+    totals = metrics.select("recorded_at", *dict.fromkeys(_AVERAGES.values()), as_of.alias("_as_of")).agg(
         F.count("*").alias("total_docs"),
         *(or_zero(F.round(F.avg(column))).alias(name) for name, column in _AVERAGES.items()),
+        *_within(),
     )
     percentiles = exact_percentiles(metrics, "e2e_lat_ms", PERCENTILES).select(
         *(or_zero(F.rint(name)).alias(name) for name in PERCENTILES)
     )
-    return one_row(totals, percentiles, throughput(metrics, as_of))
+    return one_row(totals, percentiles)
 
 
 def latest(metrics: DataFrame, n: int) -> DataFrame:
@@ -72,7 +79,12 @@ def recent_events(metrics: DataFrame, n: int = RECENT_EVENTS) -> DataFrame:
 
 
 def per_minute(metrics: DataFrame, late: str = "5 minutes") -> DataFrame:
-    """Events and mean latency per minute; bounded state when ``metrics`` is a stream."""
+    """Events and mean latency per minute; bounded state when ``metrics`` is a stream.
+
+    ``late`` is what that bound costs: in a stream, rows recorded longer than
+    this before the newest row seen are dropped (a batch keeps all). Raise it
+    where batches may be recorded out of order.
+    """
     return (
         metrics.withWatermark("recorded_at", late)
         .groupBy(F.window("recorded_at", "1 minute"))

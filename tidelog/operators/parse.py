@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidelog.functions import json_text as J
-from tidelog.functions.times import or_ingest_time, timestamp_to_ms
+from tidelog.functions.times import is_timestamp_ms, or_ingest_time, timestamp_to_ms
 from tidelog.spec import SPECS, CollectionSpec
 
 # Operation codes and error texts.
@@ -120,7 +120,11 @@ def parse_changes(
         "collection",
         "op",
         "ts_ms",
-        F.coalesce(F.col("_ts_text").rlike(r"^-?\d+$"), F.lit(True)).alias("ts_valid"),
+        # A whole number that a timestamp can hold, or none at all.
+        (
+            F.col("_ts_text").isNull()
+            | (F.col("_ts_text").rlike(r"^-?\d+$") & F.coalesce(is_timestamp_ms(F.col("_ts_text").try_cast("bigint")), F.lit(False)))
+        ).alias("ts_valid"),
         or_ingest_time(F.col("ts_ms"), ingest_ms).alias("event_ms"),
         F.when(from_key, F.col("key_id")).otherwise(F.coalesce(F.col("_doc._id"), F.lit(""))).alias("doc_id"),
         F.when(F.col("_doc").isNotNull(), F.try_parse_json(F.col("_doc_text"))).alias("document"),

@@ -1,10 +1,9 @@
-"""Exact interpolated percentiles of an INT column that scale with the cluster.
+"""Exact interpolated percentiles of a BIGINT column that scale with the cluster.
 
 A single percentile aggregate would gather every distinct value in one task.
-Here the values are counted by a distributed aggregate first. Their coarse
-buckets (value / 65536, so at most 65,536 of them for an INT) locate the ranks
-wanted, and only the buckets that hold one are looked at value by value. No
-task ever sees more than 65,536 counts.
+Here the values are counted by a distributed aggregate first. The ranks wanted
+are then located level by level: among the values' leading bits, then among the
+next ones of those that hold a rank. No task ever sees more than 2**19 counts.
 """
 
 from __future__ import annotations
@@ -13,7 +12,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-BUCKET_BITS = 16
+#: Bits below each level, and below the one before it. A span between two timestamps has less than 55 bits.
+LEVELS = ((38, None), (19, 38), (0, 19))
 
 
 def exact_percentiles(df: DataFrame, column: str, points: Mapping[str, float]) -> DataFrame:
@@ -22,40 +22,24 @@ def exact_percentiles(df: DataFrame, column: str, points: Mapping[str, float]) -
     Interpolates linearly between the two neighbouring ranks, as SQL's
     ``percentile_cont`` does.
     """
-    counts = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("v"))
-        .agg(F.count("*").alias("n"))
-        .withColumn("bucket", F.shiftright("v", BUCKET_BITS))
-    )
-    buckets = counts.groupBy("bucket").agg(F.sum("n").alias("n"))
-    # At most 65,536 rows from here on.
-    in_order = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.partitionBy(F.lit(1))
-    buckets = buckets.select(
-        "bucket",
-        "n",
-        (F.sum("n").over(in_order) - F.col("n")).alias("before"),
-        F.sum("n").over(everything).alias("total"),
-    )
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("bigint").alias("v")).agg(F.count("*").alias("n"))
     wanted = F.array(*(F.struct(F.lit(name).alias("name"), F.lit(p).alias("p")) for name, p in points.items()))
+    # Two ranks per point: a fixed handful of rows.
     ranks = (
-        buckets.select("*", F.explode(wanted).alias("w"))
-        .withColumn("position", F.col("w.p") * (F.col("total") - 1))
+        counts.agg(F.sum("n").alias("total"))
+        .select("total", F.explode(wanted).alias("w"))
+        .select(F.col("w.name").alias("name"), (F.col("w.p") * (F.col("total") - 1)).alias("position"))
         .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position")))))
-        .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
-        .select("bucket", "before", "position", "rank", F.col("w.name").alias("name"))
-    )
-    # Two ranks per point: a fixed handful of rows.
-    own = Window.partitionBy("bucket", "name", "rank").orderBy("v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    found = (
-        counts.join(F.broadcast(ranks), "bucket")
-        .withColumn("upto", F.col("before") + F.sum("n").over(own))
-        .filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+        .select("*", F.lit(0).cast("bigint").alias("before"), F.lit(0).cast("bigint").alias("leading"))
     )
-    low, high = F.min("v"), F.max("v")
+    in_order = Window.partitionBy("name", "rank").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for below, above in LEVELS:
+        parts = counts.select("n", (F.lit(0).cast("bigint") if above is None else F.shiftright("v", above)).alias("leading"), F.shiftright("v", below).alias("part"))
+        held = parts.join(F.broadcast(ranks), "leading").groupBy("name", "rank", "position", "before", "part").agg(F.sum("n").alias("n"))
+        upto = held.withColumn("upto", F.col("before") + F.sum("n").over(in_order))
+        found = upto.filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+        ranks = found.select("name", "position", "rank", (F.col("upto") - F.col("n")).alias("before"), F.col("part").alias("leading"))
+    low, high = F.min("leading"), F.max("leading")
     fraction = F.max("position") - F.min("rank")
-    per_point = found.groupBy("name").agg((low + (high - low) * fraction).cast("double").alias("value"))
+    per_point = ranks.groupBy("name").agg((low + (high - low) * fraction).cast("double").alias("value"))
     return per_point.agg(*(F.max(F.when(F.col("name") == name, F.col("value"))).alias(name) for name in points))

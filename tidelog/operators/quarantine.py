@@ -15,7 +15,7 @@ QUARANTINE_TOPIC = "poc.dlq"
 MAX_RETRIES = 3
 REPLAYED, DEAD, SKIPPED, QUEUED = "replayed", "dead", "skipped", "dlq"
 
-_PAYLOAD = (
+PAYLOAD = (
     "source_topic", "source_partition", "source_offset", "error", "retry_count", "failed_at", "raw_value", "raw_key",
 )
 
@@ -43,14 +43,14 @@ def quarantine_records(events: DataFrame, failed_at: Column | None = None) -> Da
 
 def quarantine_messages(records: DataFrame) -> DataFrame:
     """Queued records as messages of the quarantine topic, for a Kafka or file sink."""
-    payload = F.to_json(F.struct(*_PAYLOAD), {"ignoreNullFields": "false"})
+    payload = F.to_json(F.struct(*PAYLOAD), {"ignoreNullFields": "false"})
     return records.filter(F.col("destination") == QUEUED).select(
         F.lit(QUARANTINE_TOPIC).alias("topic"), payload.cast("binary").alias("value")
     )
 
 
 def dead_letters(records: DataFrame) -> DataFrame:
-    return records.filter(F.col("destination") == DEAD).select(*_PAYLOAD)
+    return records.filter(F.col("destination") == DEAD).select(*PAYLOAD)
 
 
 def plan_replay(messages: DataFrame) -> DataFrame:
@@ -61,7 +61,7 @@ def plan_replay(messages: DataFrame) -> DataFrame:
     unreadable envelope, a missing source topic or a retry count that is no
     number is skipped. The key is carried over, so deletes stay deletes.
     """
-    df = messages.withColumn("_parsed", J.parse_object(J.utf8_text(F.col("value").cast("binary")), _PAYLOAD))
+    df = messages.withColumn("_parsed", J.parse_object(J.utf8_text(F.col("value").cast("binary")), PAYLOAD))
     df = df.withColumn("_p", J.object_or_null(F.col("_parsed")))
     count = F.when(F.col("_p.retry_count").isNull(), 0).otherwise(F.col("_p.retry_count").try_cast("int")) + 1
     df = df.withColumn("_count", count)
@@ -84,7 +84,7 @@ def plan_replay(messages: DataFrame) -> DataFrame:
         F.encode(F.col("_p.raw_key"), "UTF-8").alias("key"),
         F.coalesce(F.encode(F.col("_p.raw_value"), "UTF-8"), F.lit(b"")).alias("value"),
         F.array(header).alias("headers"),
-        *(F.col("_p")[name].alias(name) for name in _PAYLOAD if name not in ("retry_count",)),
+        *(F.col("_p")[name].alias(name) for name in PAYLOAD if name not in ("retry_count",)),
     )
 
 
@@ -99,7 +99,7 @@ def replay_messages(plan: DataFrame) -> DataFrame:
 
 
 def replay_dead_letters(plan: DataFrame) -> DataFrame:
-    return plan.filter(F.col("action") == DEAD).select(*_PAYLOAD)
+    return plan.filter(F.col("action") == DEAD).select(*PAYLOAD)
 
 
 def count_actions(plan: DataFrame) -> DataFrame:

@@ -60,11 +60,10 @@ def update_propagated(source: DataFrame, target: DataFrame, key: str, column: st
 
 def delete_propagated(deleted: DataFrame, targets: dict[str, DataFrame], key: str) -> DataFrame:
     """Deleted keys that are still present in a target; all zero when deletes arrived."""
-    counts = [deleted.agg(F.count("*").alias("deleted"))]
+    checked = deleted.select(key)
     for name, table in targets.items():
-        left_over = table.join(deleted.select(key), key, "left_semi")
-        counts.append(left_over.agg(F.count("*").alias(f"left_in_{name}")))
-    return one_row(*counts)
+        checked = checked.join(table.select(key, F.lit(True).alias(f"in_{name}")), key, "left")
+    return checked.agg(F.count("*").alias("deleted"), *(F.count(f"in_{name}").alias(f"left_in_{name}") for name in targets))
 
 
 def duplicate_keys(table: DataFrame, *keys: str) -> DataFrame:

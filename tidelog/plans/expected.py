@@ -40,9 +40,16 @@ WITH base AS (
          CASE WHEN slot = 4 THEN 'skipped_tombstone' WHEN slot = 3 THEN 'delete'
               WHEN slot <> 6 OR odd = 67 THEN 'upsert' WHEN odd = 83 THEN 'skipped_no_route' ELSE 'dlq' END AS disposition,
          '{"id":"{\\"$oid\\":\\"' || oid || '\\"}"}' AS record_key,
-         CASE odd WHEN 97 THEN 'not-valid' WHEN 89 THEN '{"op":"u"' WHEN 79 THEN '{"op":"x"' WHEN 73 THEN '{"op":"u"'
-                  WHEN 71 THEN '{"op":"u"' WHEN 61 THEN '{"op":"c"' WHEN 59 THEN '[1]' END AS head
+         '{"_id":{"$oid":"' || oid || '"},' AS doc_id, '"status":"SHIPPED","city":"' || city || '","total":' AS doc_rest,
+         CASE odd WHEN 97 THEN 'not-valid-json'
+                  WHEN 89 THEN '{"op":"u","ts_ms":' || ts || ',"after":' || '"' || replace(doc_id || doc_rest || total || '}', '"', '\\"') || '"' || ',"source":{}}'
+                  WHEN 79 THEN '{"op":"x","ts_ms":' || ts || ',"after":' || 'null,"source":{}}'
+                  WHEN 73 THEN '{"op":"u","ts_ms":' || ts || ',"after":' || '"' || replace('{"_id": tru', '"', '\\"') || '"' || ',"source":{}}'
+                  WHEN 71 THEN '{"op":"u","ts_ms":' || ts || ',"after":' || '"' || replace(doc_id || '"customer_id":"' || customer || '",' || doc_rest || '"abc"}', '"', '\\"') || '"' || ',"source":{}}'
+                  WHEN 61 THEN '{"op":"c"} trailing' WHEN 59 THEN '[1]' END AS payload
   FROM log
+), delivered AS (
+  SELECT * FROM ev UNION ALL SELECT * FROM ev WHERE slot = 0 AND k % 53 = 0
 ), applied AS (
   SELECT * FROM ev WHERE disposition IN ('upsert', 'delete')
 ), ranked AS (
@@ -79,10 +86,10 @@ WITH raw AS (
          CASE n % 4 WHEN 0 THEN 'c' WHEN 1 THEN 'u' WHEN 2 THEN 'd' ELSE 'r' END AS operation,
          CAST(octet_length(encode(props)) AS INTEGER) AS doc_size_bytes,
          mongo AS mongo_ts_ms, kafka AS kafka_ts_ms, recv AS consumer_recv_ms, stored AS pg_stored_ms,
-         CAST(greatest(0, kafka - mongo) AS INTEGER) AS debezium_lat_ms,
-         CAST(greatest(0, recv - kafka) AS INTEGER) AS consumer_lat_ms,
-         CAST(greatest(0, stored - recv) AS INTEGER) AS write_lat_ms,
-         CAST(greatest(0, stored - mongo) AS INTEGER) AS e2e_lat_ms,
+         greatest(0, kafka - mongo) AS debezium_lat_ms,
+         greatest(0, recv - kafka) AS consumer_lat_ms,
+         greatest(0, stored - recv) AS write_lat_ms,
+         greatest(0, stored - mongo) AS e2e_lat_ms,
          ts AS recorded_at, epoch_us(ts) // 1000 AS recorded_at_ms,
          'poc.mydb.' || event_type AS topic, CAST(n % 4 AS INTEGER) AS part, n
   FROM timed WHERE mongo > 0 AND kafka > 0
@@ -119,7 +126,7 @@ _OFFSETS = """
 # Orders and products together.
 _ALL = """
 , everything AS (
-  SELECT 'orders' AS collection, op, disposition, error FROM ev
+  SELECT 'orders' AS collection, op, disposition, error FROM delivered
   UNION ALL SELECT 'products', 'c', CASE WHEN p_partkey % 11 = 0 THEN 'dlq' ELSE 'skipped_no_route' END,
          CASE WHEN p_partkey % 11 = 0 THEN 'schema_validation_failed' END FROM part
 )
@@ -133,8 +140,8 @@ WITH doc AS (
 ), alive AS (
   SELECT *, lpad(lower(to_hex(k)), 24, '0') || '-' || line AS order_id FROM doc WHERE NOT (k % 10 = 0 AND line = 1)
 ), line_items AS (
-  SELECT order_id, 'sku-' || p1 AS sku, CAST(q1 AS INTEGER) AS qty, u1 AS unit_price FROM alive
-  UNION ALL SELECT order_id, 'sku-' || p2, CAST(q2 AS INTEGER), u2 FROM alive WHERE line % 2 = 0
+  SELECT order_id, 'sku-' || p1 AS sku, CAST(q1 AS DOUBLE) AS qty, u1 AS unit_price FROM alive
+  UNION ALL SELECT order_id, 'sku-' || p2, CAST(q2 AS DOUBLE), u2 FROM alive WHERE line % 2 = 0
 )
 """
 
@@ -163,7 +170,17 @@ def all_expected() -> dict[str, str]:
         "transactions_final": _LOG
         + "SELECT order_id, 'txn-' || order_id AS txn_id, total AS amount, status, updated_ms AS recorded_at_ms FROM final",
         "line_items_final": _ITEMS + "SELECT * FROM line_items",
-        "target_lookup": flat + " WHERE city = 'city-7'",
+        "target_lookup": flat
+        + "WHERE order_id IN (SELECT lpad(lower(to_hex(n)), 24, '0') FROM (VALUES (1), (2), (3), (7), (10), (20), (33), (67), (97), (134)) AS v(n))",
+        "stream_transactions": _LOG
+        + "SELECT order_id, 'txn-' || order_id AS txn_id, total AS amount, status, updated_ms AS recorded_at_ms FROM final",
+        "extreme_values": """
+SELECT lpad(lower(to_hex(c_custkey)), 24, '0') AS doc_id, CASE WHEN n < 2 THEN 'dlq' ELSE 'upsert' END AS disposition,
+       CASE WHEN n < 2 THEN 'transform_failed: ts_ms' END AS error,
+       CASE n WHEN 2 THEN 9223372036854775 WHEN 3 THEN -9223372036854775 WHEN 4 THEN 1704067200000 WHEN 5 THEN 1704067200000 END AS updated_at_ms,
+       CASE n WHEN 2 THEN 1.0::DOUBLE WHEN 3 THEN 1.0 WHEN 4 THEN 2.5 WHEN 5 THEN 3000000000.0 END AS qty
+FROM (SELECT *, c_custkey % 6 AS n FROM customer)
+""",
         # parsing, validation, routing
         "parsed_event_counts": _LOG + _ALL + "SELECT collection, op, count(*) AS n FROM everything GROUP BY 1, 2",
         "disposition_counts": _LOG + _ALL + "SELECT disposition, count(*) AS n FROM everything GROUP BY 1",
@@ -182,8 +199,8 @@ SELECT oid AS doc_id, "offset", '{"loyalty":7,"source_app":"web"}' AS metadata F
         "routed_rows": _LOG
         + """
 SELECT db_target, tbl AS "table", disposition = 'delete' AS is_delete, count(*) AS n
-FROM applied CROSS JOIN (VALUES ('analytics', 'orders_flat'), ('finance', 'transactions')) AS t(db_target, tbl)
-GROUP BY ALL
+FROM delivered CROSS JOIN (VALUES ('analytics', 'orders_flat'), ('finance', 'transactions')) AS t(db_target, tbl)
+WHERE disposition IN ('upsert', 'delete') GROUP BY ALL
 """,
         "delete_keys": _LOG
         + """
@@ -205,7 +222,7 @@ FROM part
         + f"""
 SELECT 'poc.mydb.orders' AS source_topic, part AS source_partition, "offset" AS source_offset, error,
        CAST(retries AS INTEGER) AS retry_count, {failed_at} AS failed_at,
-       CASE WHEN retries >= 3 THEN 'dead' ELSE 'dlq' END AS destination, record_key AS raw_key, head AS raw_head
+       CASE WHEN retries >= 3 THEN 'dead' ELSE 'dlq' END AS destination, record_key AS raw_key, payload AS raw_value
 FROM ev WHERE disposition = 'dlq'
 """,
         "retry_routing": _LOG
@@ -216,7 +233,7 @@ SELECT CASE WHEN retries >= 3 THEN 'dead' ELSE 'dlq' END AS destination, CAST(re
         "replay_plan": _LOG
         + """
 SELECT part AS "partition", "offset", CASE WHEN retries + 1 > 3 THEN 'dead' ELSE 'replayed' END AS action,
-       CAST(retries + 1 AS INTEGER) AS retry_count, 'poc.mydb.orders' AS topic, record_key AS key, head AS raw_head,
+       CAST(retries + 1 AS INTEGER) AS retry_count, 'poc.mydb.orders' AS topic, record_key AS key, payload AS raw_value,
        CAST(retries + 1 AS VARCHAR) AS retry_header
 FROM ev WHERE disposition = 'dlq'
 """,
@@ -336,7 +353,8 @@ SELECT '2024-01-01T00:00:00.123000+00:00' AS ts, 'poc-pipeline-consumer' AS grou
         + _OFFSETS
         + _METRICS.replace("WITH raw", ", raw", 1)
         + """
-SELECT (SELECT count(*) FROM ev) AS consumed, (SELECT count(*) FROM applied) AS written,
+SELECT (SELECT count(*) FROM delivered) AS consumed,
+       (SELECT count(*) FROM delivered WHERE disposition IN ('upsert', 'delete')) AS written,
        (SELECT count(*) FROM ev WHERE disposition = 'dlq') AS rejected,
        (SELECT max(lag) FROM lags) AS max_lag, (SELECT round(avg(e2e_lat_ms)) FROM metrics) AS avg_e2e_ms
 """,
@@ -345,10 +363,8 @@ SELECT (SELECT count(*) FROM ev) AS consumed, (SELECT count(*) FROM applied) AS
         + "SELECT count(*) AS source_rows, count(*) AS target_rows, CAST(0 AS BIGINT) AS diff, true AS passed FROM final",
         "key_parity": _LOG
         + """
-SELECT coalesce(c.customer, f.customer) AS customer, CASE WHEN c.customer IS NULL THEN 'target' ELSE 'source' END AS only_in
-FROM (SELECT 'cust-' || c_custkey AS customer FROM customer) c
-FULL JOIN (SELECT DISTINCT customer_id AS customer FROM final) f ON c.customer = f.customer
-WHERE c.customer IS NULL OR f.customer IS NULL
+SELECT order_id, 'source' AS only_in FROM final WHERE last_offset // 8 % 101 = 0
+UNION ALL SELECT 'extra-' || order_id, 'target' FROM final WHERE last_offset // 8 % 103 = 0
 """,
         "insert_visible": _LOG
         + """
@@ -367,7 +383,10 @@ FROM ranked WHERE last_slot = gone
 SELECT 'poc.mydb.orders' AS topic, CAST(o_orderkey % 4 AS INTEGER) AS "partition", o_orderkey * 8 AS "offset",
        CAST(2 AS BIGINT) AS n FROM orders WHERE o_orderkey % 53 = 0
 """,
-        "duplicate_keys": _LOG + "SELECT order_id, count(*) AS n FROM final GROUP BY 1 HAVING count(*) > 1",
+        "duplicate_keys": _LOG + """
+SELECT order_id, CAST(CASE WHEN last_offset // 8 % 107 = 0 THEN 3 ELSE 2 END AS BIGINT) AS n
+FROM final WHERE last_offset // 8 % 101 = 0 OR last_offset // 8 % 107 = 0
+""",
         "table_counts": _LOG
         + _ITEMS.replace("WITH doc", ", doc", 1)
         + """

@@ -60,10 +60,10 @@ METRICS = struct(
     kafka_ts_ms=BIGINT,
     consumer_recv_ms=BIGINT,
     pg_stored_ms=BIGINT,
-    debezium_lat_ms=INT,
-    consumer_lat_ms=INT,
-    write_lat_ms=INT,
-    e2e_lat_ms=INT,
+    debezium_lat_ms=BIGINT,
+    consumer_lat_ms=BIGINT,
+    write_lat_ms=BIGINT,
+    e2e_lat_ms=BIGINT,
     recorded_at=TIMESTAMP,
     success=BOOLEAN,
     topic=STRING,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -48,12 +47,10 @@ def local_session(cores: str | int = 8, app: str = "tidelog", memory: str = "8g"
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the checkpoint directory the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (tests, single machine) a temporary
-    folder becomes the checkpoint directory.
+    Where the session names none, the warehouse serves: it is shared as well.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidelog-"))
-        root = context.getCheckpointDir()
+        root = spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/tidelog/{purpose}-{uuid.uuid4().hex}"

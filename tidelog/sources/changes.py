@@ -16,6 +16,7 @@ def kafka_options(
     topics: str = ORDERS_TOPIC,
     starting_offsets: str = "earliest",
     max_per_trigger: int | None = None,
+    fail_on_data_loss: bool = True,
     **more: str,
 ) -> dict[str, str]:
     """Options of the Kafka source.
@@ -23,14 +24,15 @@ def kafka_options(
     ``starting_offsets`` counts only for a query without a checkpoint: the
     checkpoint is where committed positions live. ``max_per_trigger`` bounds
     one micro-batch; size it to what the cluster writes within a trigger.
+    Records lost to retention stop the query unless ``fail_on_data_loss`` is
+    false; it then goes on from what is left.
     """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topics,
         "startingOffsets": starting_offsets,
         "includeHeaders": "true",
-        # Data lost to retention: go on from what is left.
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if max_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_per_trigger)

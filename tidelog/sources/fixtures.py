@@ -23,12 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores when the input has fewer splits than there are; large inputs stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 # The record texts are composed as SQL expressions: one expression string per
 # column keeps the plan quick to build.
 
@@ -76,11 +70,14 @@ def envelope(op: str, ts: str, after: str) -> str:
     return _object(("op", _text(op)), ("ts_ms", f"cast({ts} AS STRING)"), ("after", after), ("source", "'{}'"))
 
 
-def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change log of ``orders``: inserts, updates, deletes, tombstones and nine kinds of odd records."""
-    orders = spread(
-        table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey", "o_totalprice")
-    ).selectExpr(
+def order_log(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """Change log of ``orders``: inserts, updates, deletes, tombstones and nine kinds of odd records.
+
+    ``partitions`` deals the orders out anew before the texts are built, for
+    inputs of few files.
+    """
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey", "o_totalprice")
+    orders = (orders.repartition(partitions) if partitions else orders).selectExpr(
         "o_orderkey AS k",
         "unix_millis(cast(o_orderdate AS TIMESTAMP)) AS t0",
         f"{object_id('o_orderkey')} AS oid",
@@ -281,6 +278,33 @@ def offset_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.unionByName(products).unionByName(customers)
 
 
+def extreme_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One order document per customer, most with a time or a quantity at the limits of its type.
+
+    By key modulo 6: the largest and a 20-digit ``ts_ms``, the largest that a
+    timestamp holds, the same before 1970, a fractional and a huge quantity.
+    """
+    times = {
+        0: "'9223372036854775807'", 1: "'99999999999999999999'", 2: "'9223372036854775'", 3: "'-9223372036854775'",
+    }
+    ts = "CASE c_custkey % 6 " + " ".join(f"WHEN {n} THEN {text}" for n, text in times.items()) + " ELSE '1704067200000' END"
+    quantity = "CASE c_custkey % 6 WHEN 4 THEN '2.5' WHEN 5 THEN '3000000000' ELSE '1' END"
+    item = _object(("sku", _text(_constant("s"))), ("qty", quantity), ("unit_price", "'1.5'"))
+    doc = _object(
+        ("_id", _oid_json(object_id("c_custkey"))), ("customer_id", _text("concat('cust-', c_custkey)")),
+        ("status", _text(_constant("PENDING"))), ("total", "'1.0'"), ("items", f"concat('[', {item}, ']')"),
+    )
+    return table(spark, sf_dir, "customer").selectExpr(
+        f"cast({record_key(object_id('c_custkey'))} AS BINARY) AS key",
+        f"cast({envelope(_constant('c'), ts, _quoted(doc))} AS BINARY) AS value",
+        f"'{ORDERS_TOPIC}' AS topic",
+        "cast(c_custkey % 4 AS INT) AS partition",
+        "c_custkey AS offset",
+        "timestamp_millis(1704067200000 + c_custkey) AS timestamp",
+        _NO_HEADERS,
+    )
+
+
 def live_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents left in the source collection after the whole log, with their status."""
     k = F.col("o_orderkey")
