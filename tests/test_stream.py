@@ -14,7 +14,7 @@ from tidelog.sources import fixtures as X
 from tidelog.sources.changes import read_from_files, stream_from_files, stream_quarantine_files
 from tidelog.spec import LINE_ITEMS, ORDERS, ORDERS_FLAT, TRANSACTIONS
 from tidelog.sinks.target_table import TargetTable
-from tidelog.streaming.pipeline import COLUMN_TYPES, Store, process_batch, start
+from tidelog.streaming.pipeline import Store, column_types, process_batch, start
 from tidelog.streaming.replay import start_replay
 
 
@@ -112,7 +112,7 @@ def test_compaction(spark, log, batch_result, tmp_path):
     assert table._all_changes().count() == 0
     process_batch(records, store, Batch("t", 0))
     assert rows_of(table.read()) == batch_result[0]
-    wider = TargetTable(spark, table.path, ORDERS_FLAT, COLUMN_TYPES, buckets=7)
+    wider = TargetTable(spark, table.path, ORDERS_FLAT, column_types(spark, ORDERS, ORDERS_FLAT), buckets=7)
     wider.compact()  # another number of buckets from here on
     assert rows_of(table.read()) == batch_result[0]
     some = [r[0] for r in table.read().select("order_id").limit(2).collect()]
@@ -232,3 +232,12 @@ def test_extreme_times_do_not_poison_the_table(spark, tmp_path, sf_dir):
     assert {r["ms"] for r in stored} == {9223372036854775, -9223372036854775, 1704067200000}
     assert store.quarantine().count() == log.filter("offset % 6 < 2").count()
     assert store.metrics().agg(F.max("e2e_lat_ms")).first()[0] > 2**31
+
+
+def test_a_routed_collection_needs_its_tables(spark, tmp_path, sf_dir):
+    from tidelog.spec import SPECS, CollectionSpec, Target
+
+    other = CollectionSpec("others", targets=(Target("x", "y", "k", (), (), "at"),))
+    store = Store(spark, f"{tmp_path}/partial", buckets=2).create()
+    with pytest.raises(ValueError, match="others"):
+        process_batch(X.order_log(spark, sf_dir), store, Batch("s", 0), (*SPECS, other))

@@ -21,7 +21,7 @@ def document_fields(events: DataFrame, spec: CollectionSpec = ORDERS) -> DataFra
     ]
     applied = (F.col("collection") == spec.name) & F.col("disposition").isin(UPSERT, DELETE)
     return events.filter(applied).select(
-        F.col("doc_id").alias("order_id"),
+        F.col("doc_id").alias(spec.key),
         "topic",
         "partition",
         "offset",

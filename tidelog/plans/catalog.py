@@ -18,7 +18,7 @@ from tidelog.operators.parse import parse_changes
 from tidelog.session import shared_folder
 from tidelog.sources import fixtures as X
 from tidelog.sources.changes import stream_from_files, stream_quarantine_files
-from tidelog.spec import LINE_ITEMS, ORDERS_FLAT, TRANSACTIONS, fields_read
+from tidelog.spec import LINE_ITEMS, ORDERS, ORDERS_FLAT, SPECS, TRANSACTIONS, fields_read
 from tidelog.streaming.pipeline import Store, start
 from tidelog.streaming.replay import start_replay
 
@@ -488,6 +488,21 @@ def target_lookup(spark, sf):
     return _in_ms(table.read([f"{k:024x}" for k in (1, 2, 3, 7, 10, 20, 33, 67, 97, 134)]))
 
 
+@query
+def stream_two_collections(spark, sf):
+    """Orders and customers through one job: each reaches its own table, under its own key and column names."""
+    root = shared_folder(spark, "two")
+    _order_log(spark, sf).unionByName(X.customer_log(spark, sf)).write.parquet(f"{root}/log")
+    store = Store(spark, f"{root}/store", (ORDERS, X.CUSTOMERS), buckets=4)
+    changes = stream_from_files(spark, f"{root}/log", max_files=4)
+    start(changes, store, f"{root}/checkpoint", specs=(*SPECS, X.CUSTOMERS), every=None).awaitTermination()
+    orders = _in_ms(store.tables["orders_flat"].read())
+    accounts = _in_ms(store.tables["accounts"].read())
+    return orders.selectExpr("'orders' AS collection", "order_id AS key", "status AS label", "total AS amount", "updated_at_ms AS changed_ms").unionByName(
+        accounts.selectExpr("'customers' AS collection", "account_key AS key", "label", "balance AS amount", "changed_at_ms AS changed_ms")
+    )
+
+
 @query
 def stream_transactions(spark, sf):
     """The second target of the continuous job, read without a compaction."""

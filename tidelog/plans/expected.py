@@ -174,6 +174,14 @@ def all_expected() -> dict[str, str]:
         + "WHERE order_id IN (SELECT lpad(lower(to_hex(n)), 24, '0') FROM (VALUES (1), (2), (3), (7), (10), (20), (33), (67), (97), (134)) AS v(n))",
         "stream_transactions": _LOG
         + "SELECT order_id, 'txn-' || order_id AS txn_id, total AS amount, status, updated_ms AS recorded_at_ms FROM final",
+        "stream_two_collections": _LOG
+        + """
+SELECT 'orders' AS collection, order_id AS key, status AS label, total AS amount, updated_ms AS changed_ms FROM final
+UNION ALL SELECT 'customers', lpad(lower(to_hex(c_custkey)), 24, '0'), lpad(lower(to_hex(c_custkey)), 24, '0') || '/' || c_name,
+       CASE WHEN c_custkey % 3 = 0 THEN 0.0 ELSE c_acctbal END,
+       1704067200000 + c_custkey * 1000 + CASE WHEN c_custkey % 3 = 0 THEN 60000 ELSE 0 END
+FROM customer WHERE c_custkey % 10 <> 0
+""",
         "extreme_values": """
 SELECT lpad(lower(to_hex(c_custkey)), 24, '0') AS doc_id, CASE WHEN n < 2 THEN 'dlq' ELSE 'upsert' END AS disposition,
        CASE WHEN n < 2 THEN 'transform_failed: ts_ms' END AS error,

@@ -13,6 +13,7 @@ from tidelog.functions.times import timestamp_to_ms
 from tidelog.operators.project import metric_rows
 from tidelog.operators.parse import document_size
 from tidelog.session import prepare
+from tidelog.spec import CollectionSpec, Target
 
 ORDERS_TOPIC = "poc.mydb.orders"
 PRODUCTS_TOPIC = "poc.mydb.products"
@@ -305,6 +306,54 @@ def extreme_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Customers as a second collection, with names of its own for key and columns.
+CUSTOMERS = CollectionSpec(
+    name="customers",
+    required=("name",),
+    known=("_id", "name", "balance"),
+    fields=(("name", "string"), ("balance", "double")),
+    targets=(
+        Target(
+            database="crm",
+            table="accounts",
+            key="account_key",
+            reads=("name", "balance"),
+            columns=(("label", "concat(account_key, '/', name)"), ("balance", "balance")),
+            inserted_at="opened_at",
+            changed_at="changed_at",
+        ),
+    ),
+)
+
+
+def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inserts of ``customer``; every third balance is set to zero later, and every tenth customer deleted."""
+
+    def doc(balance: str) -> str:
+        return _object(("_id", _oid_json("oid")), ("name", _text("c_name")), ("balance", balance))
+
+    def version(n: int, when: str, value: str) -> str:
+        return f"CASE WHEN {when} THEN named_struct('n', {n}L, 'value', {value}) END"
+
+    t0 = "1704067200000 + k * 1000"
+    versions = [
+        version(0, "true", envelope("'c'", t0, _quoted(doc("cast(c_acctbal AS STRING)")))),
+        version(1, "k % 3 = 0", envelope("'u'", f"{t0} + 60000", _quoted(doc("'0'")))),
+        version(2, "k % 10 = 0", envelope("'d'", f"{t0} + 90000", "'null'")),
+    ]
+    rows = table(spark, sf_dir, "customer").selectExpr("c_custkey AS k", "c_name", "c_acctbal", f"{object_id('c_custkey')} AS oid")
+    records = rows.selectExpr("k", "oid", f"explode(filter(array({', '.join(versions)}), v -> v IS NOT NULL)) AS e")
+    return records.selectExpr(
+        f"cast({record_key('oid')} AS BINARY) AS key",
+        "cast(e.value AS BINARY) AS value",
+        f"'{CUSTOMERS_TOPIC}' AS topic",
+        "0 AS partition",
+        "k * 4 + e.n AS offset",
+        f"timestamp_millis({t0} + e.n * 60000) AS timestamp",
+        _NO_HEADERS,
+    )
+
+
 def live_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents left in the source collection after the whole log, with their status."""
     k = F.col("o_orderkey")

@@ -13,8 +13,8 @@ from dataclasses import dataclass
 class Target:
     """One table fed by a collection.
 
-    ``reads`` names the document fields it needs. ``columns`` maps a target column to a SQL expression over ``order_id`` (the
-    key) and the spec's document fields. ``inserted_at`` names the column that
+    ``reads`` names the document fields it needs. ``columns`` maps a target column to a SQL expression over ``key`` (the
+    document's id under that name) and the spec's document fields. ``inserted_at`` names the column that
     keeps the first-seen time, ``changed_at`` the one holding the last change.
     """
 
@@ -37,6 +37,14 @@ class CollectionSpec:
     fields: tuple[tuple[str, str], ...] = ()
     targets: tuple[Target, ...] = ()
 
+    def __post_init__(self) -> None:
+        if len({target.key for target in self.targets}) > 1:
+            raise ValueError(f"the targets of {self.name} must name their key alike")
+
+    @property
+    def key(self) -> str:
+        return self.targets[0].key if self.targets else "doc_id"
+
 
 ORDERS_FLAT = Target(
     database="analytics",

@@ -9,40 +9,51 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DataType
 
 from tidelog.functions.times import ms_to_timestamp
 from tidelog.operators import classify as C
 from tidelog.operators import lag, merge, project, quarantine
 from tidelog.operators.parse import parse_changes
-from tidelog.schemas import COUNTERS, DOUBLE, METRICS, OFFSET_AUDIT, QUARANTINE, STRING, conform
+from tidelog.schemas import COUNTERS, METRICS, OFFSET_AUDIT, QUARANTINE, STRING, conform
 from tidelog.session import prepare
 from tidelog.sinks.batches import Batch, create_dataset, batch_schema, read_batches, stream_id, write_batch
 from tidelog.sinks.target_table import TargetTable
 from tidelog.spec import ORDERS, SPECS, CollectionSpec, Target, fields_read
 
-# Type of each target column.
-COLUMN_TYPES = {
-    "customer_id": STRING,
-    "status": STRING,
-    "city": STRING,
-    "total": DOUBLE,
-    "txn_id": STRING,
-    "amount": DOUBLE,
-    "items": STRING,
-}
+
+def column_types(spark: SparkSession, spec: CollectionSpec, target: Target) -> dict[str, DataType]:
+    """Type of each column of a target, from its expressions over the spec's fields."""
+    fields = ", ".join(f"`{name}` {kind}" for name, kind in ((target.key, "string"), *spec.fields))
+    columns = spark.createDataFrame([], fields).select(*project.target_columns(target))
+    return {field.name: field.dataType for field in columns.schema}
 
 
 class Store:
-    """The datasets of one pipeline under a common root."""
+    """The datasets of one pipeline under a common root.
+
+    ``specs`` are the collections whose targets it holds; ``extra`` are further targets of the first.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, spec: CollectionSpec = ORDERS, extra: Sequence[Target] = (), buckets: int = 64):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        specs: CollectionSpec | Sequence[CollectionSpec] = ORDERS,
+        extra: Sequence[Target] = (),
+        buckets: int = 64,
+    ):
         self.spark = prepare(spark)
         self.root = root.rstrip("/")
-        self.spec = spec
+        self.specs = [specs] if isinstance(specs, CollectionSpec) else list(specs)
+        self.targets = {spec.name: [*spec.targets, *(extra if i == 0 else ())] for i, spec in enumerate(self.specs)}
         self.tables = {
-            t.table: TargetTable(spark, f"{self.root}/{t.database}/{t.table}", t, COLUMN_TYPES, buckets)
-            for t in (*spec.targets, *extra)
+            t.table: TargetTable(spark, f"{self.root}/{t.database}/{t.table}", t, column_types(spark, spec, t), buckets)
+            for spec in self.specs
+            for t in self.targets[spec.name]
         }
+        if len(self.tables) < sum(map(len, self.targets.values())):
+            raise ValueError("two targets of a store share a table name")
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -86,6 +97,9 @@ def process_batch(records: DataFrame, store: Store, batch: Batch, specs: Sequenc
     # Spark turns adaptive execution off in the session of a stream. This one
     # keeps no state, and without it every write makes a file per shuffle partition.
     prepare(records.sparkSession)
+    nowhere = {spec.name for spec in specs if spec.targets} - set(store.targets)
+    if nowhere:
+        raise ValueError(f"collections with targets, but not in the store: {sorted(nowhere)}")
     received_ms = int(time.time() * 1000)
     events = C.classify(parse_changes(records, F.lit(received_ms), specs), specs)
     # Raw bytes are needed again only for rejected records.
@@ -93,12 +107,8 @@ def process_batch(records: DataFrame, store: Store, batch: Batch, specs: Sequenc
     kept = {name: F.when(rejected, F.col(name)) for name in ("key", "value")}
     events = events.drop("document", "headers", "timestamp").withColumns(kept).persist()
     try:
-        # One shuffle of the events for all targets; the states are small.
-        fields = fields_read(*(table.target for table in store.tables.values()))
-        states = merge.collapse(project.document_fields(events, store.spec), fields).persist()
-        states.count()
-        _together(store.spark, *(lambda t=table: t.append(states, batch) for table in store.tables.values()))
-        states.unpersist()
+        for spec in store.specs:
+            _write_targets(events, store, spec, batch)
         records_out = quarantine.quarantine_records(events)
         queued = conform(records_out.filter(F.col("destination") == quarantine.QUEUED), QUARANTINE)
         counters = conform(C.count_dispositions(events), COUNTERS)
@@ -115,6 +125,19 @@ def process_batch(records: DataFrame, store: Store, batch: Batch, specs: Sequenc
         events.unpersist()
 
 
+def _write_targets(events: DataFrame, store: Store, spec: CollectionSpec, batch: Batch) -> None:
+    """Append the states of one collection to its tables. One shuffle of its events serves all; the states are small."""
+    targets = store.targets[spec.name]
+    if not targets:
+        return
+    states = merge.collapse(project.document_fields(events, spec), fields_read(*targets), key=spec.key).persist()
+    try:
+        states.count()
+        _together(store.spark, *(lambda t=store.tables[target.table]: t.append(states, batch) for target in targets))
+    finally:
+        states.unpersist()
+
+
 def _together(spark: SparkSession, *writes: Callable[[], None]) -> None:
     """Run independent write jobs at the same time; the first failure is raised."""
     with ThreadPoolExecutor(len(writes)) as pool:
