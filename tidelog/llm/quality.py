@@ -212,6 +212,8 @@ def estimates(found: DataFrame, *, core: float, prior_docs: float, steps: int) -
             *(F.sum(x).alias(x) for x in VECTOR),
             *(F.sum(F.col(VECTOR[i]) * F.col(VECTOR[j])).alias(s) for (i, j), s in zip(_PAIRS, _MOMENTS)),
         )
+        # Written before they are grouped: else Spark deals the partial sums by group alone, all of a large one to one task.
+        sums_ = keep(sums_, f"bins{step}")
         raw = keep(sums_.groupBy(*_GROUP).applyInPandas(_core(core), _schema([*_GROUP, "h", *_CENTRE, *_MOMENTS])), f"core{step}")
         weight = F.sum("h")
         pooled = raw.agg(*((F.sum(F.col(c) * F.col("h")) / weight).alias(c) for c in [*_CENTRE, *_MOMENTS])).first()
