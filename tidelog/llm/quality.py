@@ -32,7 +32,7 @@ from tidelog.llm.scratch import keep, ship
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 VECTOR = ("x0", "x1", "x2", "x3")
 #: Least standard deviation of each statistic: what texts of one kind may differ by.
-FLOOR = (0.03, 0.15, 0.15, 0.15)
+FLOOR = (0.03, 0.10, 0.15, 0.15)
 WINDOW = 8
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[*b"#*$%&|<>"]] = True
