@@ -80,18 +80,30 @@ def fresh(vocabulary: Vocabulary, seed: int = 1) -> dict[str, np.ndarray]:
     }
 
 
-def forward(p: dict[str, np.ndarray], symbols: np.ndarray) -> tuple[np.ndarray, dict]:
-    """Log probabilities (natural) of the next id's class at each scored place, for windows of symbols; and what `backward` needs."""
+def logits(p: dict[str, np.ndarray], symbols: np.ndarray) -> tuple[np.ndarray, dict]:
+    """Unnormalised log probabilities of the next id's class at each scored place, and what `gradient` needs."""
     query, key, value = (p["embed"] @ p[n] for n in ("query", "key", "value"))  # of each symbol
-    q, k, v = query[symbols[:, CONTEXT:]], key[symbols], value[symbols]
-    weight = np.exp(np.clip(q @ k.transpose(0, 2, 1) * _F(SIZE**-0.5) + p["away"][_AWAY], -20, 20)) * _SEEN
+    late = symbols[:, CONTEXT:]
+    q, k, v = query[late], key[symbols], value[symbols]
+    weight = q @ k.transpose(0, 2, 1)
+    weight *= _F(SIZE**-0.5)
+    weight += p["away"][_AWAY]
+    np.clip(weight, -20, 20, out=weight)
+    np.exp(weight, out=weight)
+    weight *= _SEEN
     total = weight.sum(2, keepdims=True)
     seen = (weight @ v) / total
-    state = np.concatenate([seen, p["embed"][symbols[:, CONTEXT:]]], 2)
-    logits = state.reshape(-1, 2 * SIZE) @ p["out"] + p["bias"]
-    logits -= logits.max(1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(1, keepdims=True))
-    return logits, {"q": q, "k": k, "v": v, "weight": weight, "total": total, "state": state}
+    out = seen.reshape(-1, SIZE) @ p["out"][:SIZE]
+    out += (p["embed"] @ p["out"][SIZE:] + p["bias"])[late.ravel()]
+    np.clip(out, -60, 60, out=out)  # far beyond what training reaches; keeps the exponentials finite
+    return out, {"q": q, "k": k, "v": v, "weight": weight, "total": total, "seen": seen}
+
+
+def forward(p: dict[str, np.ndarray], symbols: np.ndarray) -> tuple[np.ndarray, dict]:
+    """Log probabilities (natural) of all classes at each scored place; and what `gradient` needs."""
+    out, c = logits(p, symbols)
+    out -= np.log(np.exp(out).sum(1, keepdims=True))
+    return out, c
 
 
 def gradient(p: dict[str, np.ndarray], symbols: np.ndarray, targets: np.ndarray, live: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
@@ -104,9 +116,9 @@ def gradient(p: dict[str, np.ndarray], symbols: np.ndarray, targets: np.ndarray,
     d_logits = np.exp(log_p)
     d_logits[rows, flat] -= 1
     d_logits *= (use / n)[:, None]
-    state = c["state"].reshape(-1, 2 * SIZE)
+    state = np.concatenate([c["seen"], p["embed"][symbols[:, CONTEXT:]]], 2).reshape(-1, 2 * SIZE)
     g = {"out": state.T @ d_logits, "bias": d_logits.sum(0)}
-    d_state = (d_logits @ p["out"].T).reshape(c["state"].shape)
+    d_state = (d_logits @ p["out"].T).reshape(*c["q"].shape[:2], 2 * SIZE)
     share = c["weight"] / c["total"]
     d_seen = d_state[:, :, :SIZE]
     d_share = d_seen @ c["v"].transpose(0, 2, 1)
@@ -168,15 +180,18 @@ def model_inputs(symbol: np.ndarray, classes: np.ndarray, ids: np.ndarray) -> tu
     return symbols, classes[targets].astype(np.int64), targets >= 0
 
 
-def score(p: dict[str, np.ndarray], vocabulary: Vocabulary, flat: np.ndarray, starts: np.ndarray, batch: int = 512) -> np.ndarray:
+def score(p: dict[str, np.ndarray], vocabulary: Vocabulary, flat: np.ndarray, starts: np.ndarray, batch: int = 128) -> np.ndarray:
     """log10 probability of each text."""
     out = np.zeros(len(starts) - 1)
     first, text = windows_of(starts)
     for i in range(0, len(first), batch):
         ids, _ = fill(flat, starts, first[i : i + batch], text[i : i + batch])
         symbols, classes, live = model_inputs(vocabulary.symbol, vocabulary.classes, ids)
-        log_p, _ = forward(p, symbols)
+        found, _ = logits(p, symbols)
+        chosen = found[np.arange(len(found)), classes.ravel()]
+        np.exp(found, out=found)
+        log_p = (chosen - np.log(found.sum(1))).reshape(live.shape)
         share = vocabulary.log_share[group_of(ids[:, CONTEXT:-1]), ids[:, CONTEXT + 1 :]]
-        each = log_p[np.arange(len(log_p)), classes.ravel()].reshape(live.shape) + share
+        each = log_p + share
         np.add.at(out, text[i : i + batch], (each * live).sum(1, dtype=np.float64))
     return out / np.log(10)

@@ -173,19 +173,15 @@ def _scored(docs: DataFrame, key: str, path: str, end_id: int, model, frequent,
                 known = np.bincount(row[common], minlength=rows) + (end_count > 0)
                 base = np.bincount(row[common], np.log10(count[common] + 0.1), rows) + np.log10(end_count + 0.1)
                 rare_row, rare_key = row[~common], keys[~common]
-                order = np.lexsort((rare_key, rare_row))
-                rare_row, rare_key = rare_row[order], rare_key[order]
-                new = np.flatnonzero(np.concatenate([[True], (rare_row[1:] != rare_row[:-1]) | (rare_key[1:] != rare_key[:-1])])) if len(order) else order
-                times = np.diff(np.append(new, len(order))).astype(np.int32)
-                at = np.searchsorted(rare_row[new], np.arange(rows + 1)).astype(np.int32)
-                lists = [pa.ListArray.from_arrays(pa.array(at), pa.array(v)) for v in (rare_key[new].view(np.int64), times)]
+                at = np.searchsorted(rare_row, np.arange(rows + 1)).astype(np.int32)
+                rare = pa.ListArray.from_arrays(pa.array(at), pa.array(rare_key.view(np.int64)))
                 model_score = attention.score(p, vocabulary, *_with_end(ids, data, starts, end_id))
                 part = batch.slice(first, rows)
-                columns = [part.column(0), part.column(1), *(pa.array(v.astype(np.int64)) for v in (n, known)), pa.array(base), *lists, pa.array(model_score)]
+                columns = [part.column(0), part.column(1), *(pa.array(v.astype(np.int64)) for v in (n, known)), pa.array(base), rare, pa.array(model_score)]
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
 
     use = uuid.uuid4().hex
-    kinds = {"n_tokens": T.LongType(), "known": T.LongType(), "base": T.DoubleType(), "rare": T.ArrayType(T.LongType()), "times": T.ArrayType(T.IntegerType()), "score": T.DoubleType()}
+    kinds = {"n_tokens": T.LongType(), "known": T.LongType(), "base": T.DoubleType(), "rare": T.ArrayType(T.LongType()), "score": T.DoubleType()}
     schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("held_out", T.BooleanType()), *(T.StructField(k, v) for k, v in kinds.items())])
     return docs.select(key, "held_out", "text").mapInArrow(score, schema)
 
@@ -222,11 +218,11 @@ def score_texts(
 
     found = _scored(docs, key, path, end_id, model, frequent, int(end_count))
     found = keep(found.withColumn("row", F.monotonically_increasing_id()), "scored")
-    rare = found.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("key"), "w.times")
+    rare = found.select("row", F.explode("rare").alias("key"))
     met = rare.join(words_.filter(F.col("n") < int(least)), "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    met = met.groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("n") + 0.1)).alias("rare_base"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"))
+    met = met.groupBy("row").agg(F.sum(F.log10(F.col("n") + 0.1)).alias("rare_base"), F.count_if(F.col("n") > 0).alias("rare_known"))
     whole = float(np.log10(tokens + 0.1 * (distinct + 1)))
-    joined = found.drop("rare", "times").join(met, "row", "left")
+    joined = found.drop("rare").join(met, "row", "left")
     return joined.select(
         key, "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(int(tokens)).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) - F.col("n_tokens") * F.lit(whole)).alias("base_score"), "score",

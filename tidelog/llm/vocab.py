@@ -96,7 +96,7 @@ class Table:
 class Pieces:
     """Base: finds the pieces of texts and the value of each, encoding what is new. A worker keeps `limit` pieces."""
 
-    def __init__(self, path: str, spaced: bool, lower: bool, limit: int = 1_000_000):
+    def __init__(self, path: str, spaced: bool, lower: bool, limit: int = 1_600_000):
         self.path, self.spaced, self.lower, self.limit = path, spaced, lower, limit
         self.reset()
 
