@@ -36,7 +36,7 @@ GRAM, BLOCK = 64, 16
 #: Window starts that are searched at once, and bits of a place among them.
 _CHUNK, _PLACE = 1 << 22, 24
 #: Bytes of contexts that are merged at once, symbols of a shard, and contexts of an anchor in one task.
-TOGETHER, SHARD, MOST = 8 << 20, 1 << 16, 4096
+TOGETHER, SHARD, MOST = 2 << 20, 1 << 15, 2048
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -250,10 +250,10 @@ def repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length:
 
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for batch in batches:  # sorted by anchor: cut where it changes
-            anchors = batch.column(0).to_numpy()
-            cuts = [0, *(np.flatnonzero(anchors[1:] != anchors[:-1]) + 1).tolist()] if len(anchors) else []
-            if held and cuts and anchors[0] == held[-1].column(0)[-1].as_py():
+        for batch in batches:  # sorted by anchor and salt: cut where one changes
+            anchor, salt = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cuts = [0, *(np.flatnonzero((anchor[1:] != anchor[:-1]) | (salt[1:] != salt[:-1])) + 1).tolist()] if len(anchor) else []
+            if held and cuts and (anchor[0], salt[0]) == tuple(held[-1].column(i)[-1].as_py() for i in (0, 1)):
                 cuts = cuts[1:]
                 head = batch.slice(0, cuts[0] if cuts else batch.num_rows)
                 held.append(head)
