@@ -56,6 +56,7 @@ def candidates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sour
 
 def features(found: DataFrame) -> DataFrame:
     """Adds FEATURES."""
+    found = keep(found, "candidates")  # else each feature would repeat the expressions that cut the text
     c, before, after = F.col("candidate"), F.col("before"), F.col("after")
     kinds = F.translate(c, digits + ascii_lowercase + ascii_uppercase, "d" * 10 + "l" * 26 + "u" * 26)
     attached = F.regexp_extract(before, r"\S*$", 0)
