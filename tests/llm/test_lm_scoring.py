@@ -4,11 +4,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from brute import documents, odd_texts, with_clashes, words
 from tidelog.llm import attention, lm_scoring
 from tidelog.llm.queries import WORD_BPE
+from tidelog.llm.vocab import Ids
 
 
 def lower(text):
@@ -122,3 +124,28 @@ def test_each_id_is_scored_once_with_its_context():
             previous = attention.group_of(before[attention.CONTEXT + i - window : attention.CONTEXT + i - window + 1])[0]
             total += log_p[i - window, v.classes[ids[i]]] + v.log_share[previous, ids[i]]
         assert scores[k] == pytest.approx(total / math.log(10), rel=1e-4)
+
+
+def test_all_windows_of_all_training_texts_are_trained_on(spark, monkeypatch):
+    texts = corpus()[:60]
+    ids, seen = Ids(WORD_BPE), []
+    monkeypatch.setattr(lm_scoring, "train", lambda windows, vocabulary, **_: seen.append(windows.count()) or attention.fresh(vocabulary))
+    lm_scoring.score_texts(documents(spark, texts), WORD_BPE).count()
+    sizes = [len(ids.of(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0]) + 1 for i, t in texts if not held(i)]
+    assert seen == [sum(-(-n // attention.SCORED) for n in sizes)]
+
+
+def test_rare_ids_stay_distinct():
+    v = attention.Vocabulary(np.tile(1.0 + np.arange(3000.0, 0, -1), (attention.GROUPS, 1)))
+    p = attention.fresh(v)
+    filled = np.full((2, attention.WIDTH + 1), 5)
+    filled[:, attention.CONTEXT] = 2500, 2900
+    one, two = (attention.forward(p, attention.model_inputs(v.symbol, v.classes, filled[k : k + 1])[0])[0] for k in (0, 1))
+    assert not np.allclose(one, two, atol=1e-5)
+
+
+def test_wide_ids_and_gaps_survive_storage():
+    for size in (49_408, 70_000):
+        filled = np.array([[-1, 0, size - 1] + [7] * (attention.WIDTH - 2)])
+        column = pa.array([w.tobytes() for w in filled.astype(lm_scoring._stored(size))], pa.binary())
+        assert (lm_scoring._filled(column, size) == filled).all()

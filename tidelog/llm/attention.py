@@ -1,6 +1,6 @@
 """A small causal self-attention model in numpy: one layer, relative positions, factored output.
 
-Ids become symbols (the most frequent ones, and one for the rest) for the input, and classes for the output: the most
+Each id has an input vector of its own, and a class for the output: the most
 frequent ids are classes of their own, the rest share classes by frequency, and within a class an id has its smoothed
 share of the training counts after the group of the id before. So the probabilities of all ids sum to one, and a step costs a few hundred products.
 The state before each id attends to the ids before it in its window; a window is CONTEXT ids that are only looked at and
@@ -13,9 +13,7 @@ import numpy as np
 
 CONTEXT, SCORED = 8, 24
 WIDTH = CONTEXT + SCORED
-SYMBOLS, CLASSES, DIRECT, SIZE = 1024, 96, 72, 16
-#: Symbol before the first id of a text.
-START = SYMBOLS - 1
+CLASSES, DIRECT, SIZE = 96, 72, 16
 GROUPS, PRIOR = 128, 10.0
 _F = np.float32
 
@@ -32,7 +30,8 @@ def group_of(ids: np.ndarray) -> np.ndarray:
 
 
 class Vocabulary:
-    """Symbols, classes and within-class shares, from counts over the whole training corpus.
+    """Symbols (the ids, and one more before the first id of a text), classes and within-class shares, from counts over the
+    whole training corpus.
 
     `pairs[g, i]` counts id i after an id of group g. An id's share of its class given the group is drawn towards its
     share of the class by the weight of PRIOR occurrences.
@@ -44,7 +43,7 @@ class Vocabulary:
         order = np.argsort(-counts, kind="stable")
         rank = np.empty(size, np.int64)
         rank[order] = np.arange(size)
-        self.symbol = np.minimum(rank, SYMBOLS - 2).astype(np.int16)
+        self.symbol = np.arange(size, dtype=np.int32)
         rest = np.log(np.maximum(rank - DIRECT, 0) + 1.0) / np.log(max(2.0, size - DIRECT + 1.0))
         self.classes = np.where(rank < DIRECT, rank, DIRECT + np.minimum((rest * (CLASSES - DIRECT)).astype(np.int64), CLASSES - DIRECT - 1)).astype(np.int16)
         smooth = counts + 0.05
@@ -56,17 +55,16 @@ class Vocabulary:
         for g, row in enumerate(pairs):
             by_class[g] = np.bincount(self.classes, row, CLASSES)
             self.log_share[g] = np.log((row + PRIOR * share) / (by_class[g] + PRIOR)[self.classes])
-        self.start = self._start(by_class, order)
+        self.start = self._start(by_class, size)
 
-    def _start(self, by_class: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _start(self, by_class: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Input and output vectors that say how much likelier a class is after a group than elsewhere."""
         expected = np.outer(by_class.sum(1), by_class.sum(0)) / max(1.0, by_class.sum())
         odds = np.clip(np.log((by_class + 1) / (expected + 1)), -4, 4)
         left, weight, right = np.linalg.svd(odds, full_matrices=False)
         root = np.sqrt(weight[:SIZE])
-        symbols = np.zeros((SYMBOLS, SIZE), _F)
-        known = order[: SYMBOLS - 2]
-        symbols[: len(known)] = (left[:, :SIZE] * root)[group_of(known)]
+        symbols = np.zeros((size + 1, SIZE), _F)
+        symbols[:size] = (left[:, :SIZE] * root)[group_of(np.arange(size))]
         return symbols, (right[:SIZE] * root[:, None]).astype(_F)
 
 
@@ -75,16 +73,16 @@ def fresh(vocabulary: Vocabulary, seed: int = 1) -> dict[str, np.ndarray]:
     normal = lambda *shape: (draw.normal(size=shape) / np.sqrt(shape[0])).astype(_F)
     before, after = vocabulary.start
     return {
-        "embed": before + (draw.normal(size=(SYMBOLS, SIZE)) * 0.1).astype(_F), "query": normal(SIZE, SIZE) * _F(0.5), "key": normal(SIZE, SIZE) * _F(0.5), "value": normal(SIZE, SIZE),
+        "embed": before + (draw.normal(size=before.shape) * 0.1).astype(_F), "query": normal(SIZE, SIZE) * _F(0.5), "key": normal(SIZE, SIZE) * _F(0.5), "value": normal(SIZE, SIZE),
         "away": np.linspace(0, -1, WIDTH).astype(_F), "out": np.concatenate([normal(SIZE, CLASSES) * _F(0.1), after]), "bias": vocabulary.class_log.copy(),
     }
 
 
 def logits(p: dict[str, np.ndarray], symbols: np.ndarray) -> tuple[np.ndarray, dict]:
     """Unnormalised log probabilities of the next id's class at each scored place, and what `gradient` needs."""
-    query, key, value = (p["embed"] @ p[n] for n in ("query", "key", "value"))  # of each symbol
-    late = symbols[:, CONTEXT:]
-    q, k, v = query[late], key[symbols], value[symbols]
+    x = p["embed"][symbols]
+    late = x[:, CONTEXT:]
+    q, k, v = late @ p["query"], x @ p["key"], x @ p["value"]
     weight = q @ k.transpose(0, 2, 1)
     weight *= _F(SIZE**-0.5)
     weight += p["away"][_AWAY]
@@ -93,10 +91,10 @@ def logits(p: dict[str, np.ndarray], symbols: np.ndarray) -> tuple[np.ndarray, d
     weight *= _SEEN
     total = weight.sum(2, keepdims=True)
     seen = (weight @ v) / total
-    out = seen.reshape(-1, SIZE) @ p["out"][:SIZE]
-    out += (p["embed"] @ p["out"][SIZE:] + p["bias"])[late.ravel()]
+    out = np.concatenate([seen, late], 2).reshape(-1, 2 * SIZE) @ p["out"]
+    out += p["bias"]
     np.clip(out, -60, 60, out=out)  # far beyond what training reaches; keeps the exponentials finite
-    return out, {"q": q, "k": k, "v": v, "weight": weight, "total": total, "seen": seen}
+    return out, {"x": x, "q": q, "k": k, "v": v, "weight": weight, "total": total, "seen": seen}
 
 
 def forward(p: dict[str, np.ndarray], symbols: np.ndarray) -> tuple[np.ndarray, dict]:
@@ -108,6 +106,14 @@ def forward(p: dict[str, np.ndarray], symbols: np.ndarray) -> tuple[np.ndarray,
 
 def gradient(p: dict[str, np.ndarray], symbols: np.ndarray, targets: np.ndarray, live: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
     """Gradient of the mean negative log probability of `targets` (classes) where `live`, and that mean."""
+    g, rows, values, loss = sparse_gradient(p, symbols, targets, live)
+    g["embed"] = np.zeros_like(p["embed"])
+    g["embed"][rows] = values
+    return g, loss
+
+
+def sparse_gradient(p: dict[str, np.ndarray], symbols: np.ndarray, targets: np.ndarray, live: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, float]:
+    """As `gradient`, with that of "embed" apart: the symbols that occur, and their rows."""
     log_p, c = forward(p, symbols)
     n = max(1, int(live.sum()))
     flat, use = targets.ravel(), live.ravel().astype(_F)
@@ -116,7 +122,8 @@ def gradient(p: dict[str, np.ndarray], symbols: np.ndarray, targets: np.ndarray,
     d_logits = np.exp(log_p)
     d_logits[rows, flat] -= 1
     d_logits *= (use / n)[:, None]
-    state = np.concatenate([c["seen"], p["embed"][symbols[:, CONTEXT:]]], 2).reshape(-1, 2 * SIZE)
+    x, late = c["x"], c["x"][:, CONTEXT:]
+    state = np.concatenate([c["seen"], late], 2).reshape(-1, 2 * SIZE)
     g = {"out": state.T @ d_logits, "bias": d_logits.sum(0)}
     d_state = (d_logits @ p["out"].T).reshape(*c["q"].shape[:2], 2 * SIZE)
     share = c["weight"] / c["total"]
@@ -126,36 +133,39 @@ def gradient(p: dict[str, np.ndarray], symbols: np.ndarray, targets: np.ndarray,
     g["away"] = np.bincount(_AWAY.ravel(), d_score.sum(0).ravel(), WIDTH).astype(_F)
     d_score *= _F(SIZE**-0.5)
     d_q, d_k, d_v = d_score @ c["k"], d_score.transpose(0, 2, 1) @ c["q"], share.transpose(0, 2, 1) @ d_seen
-    late = symbols[:, CONTEXT:]
-    by_symbol = {"query": _sum(late, d_q), "key": _sum(symbols, d_k), "value": _sum(symbols, d_v)}
-    g["embed"] = _sum(late, d_state[:, :, SIZE:])
-    for name, d in by_symbol.items():
-        g[name] = p["embed"].T @ d
-        g["embed"] = g["embed"] + d @ p[name].T
-    return g, loss
+    d_x = d_k @ p["key"].T + d_v @ p["value"].T
+    d_x[:, CONTEXT:] += d_q @ p["query"].T + d_state[:, :, SIZE:]
+    for name, of, d in (("query", late, d_q), ("key", x, d_k), ("value", x, d_v)):
+        g[name] = of.reshape(-1, SIZE).T @ d.reshape(-1, SIZE)
+    return g, *_sum(symbols, d_x), loss
 
 
-def _sum(symbols: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Sum of the values of each symbol."""
+def _sum(symbols: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols that occur, and the sum of the values of each."""
     flat = symbols.ravel()
     order = np.argsort(flat, kind="stable")
-    out = np.zeros((SYMBOLS, SIZE), _F)
     first = np.flatnonzero(np.diff(flat[order], prepend=-1))
-    if len(first):
-        out[flat[order][first]] = np.add.reduceat(values.reshape(-1, SIZE)[order], first)
-    return out
+    return flat[order][first], np.add.reduceat(values.reshape(-1, SIZE)[order], first)
 
 
 class Adam:
+    """Rows of "embed" move, and their moments decay, only in steps in which their symbols occur."""
+
     def __init__(self, rate: float):
         self.rate, self.step, self.one, self.two = rate, 0, {}, {}
 
-    def update(self, p: dict[str, np.ndarray], g: dict[str, np.ndarray]) -> None:
+    def update(self, p: dict[str, np.ndarray], g: dict[str, np.ndarray], rows: np.ndarray, values: np.ndarray) -> None:
         self.step += 1
         for name, d in g.items():
-            one = self.one[name] = 0.9 * self.one.get(name, 0) + 0.1 * d
-            two = self.two[name] = 0.99 * self.two.get(name, 0) + 0.01 * d * d
-            p[name] -= (self.rate * (one / (1 - 0.9**self.step)) / (np.sqrt(two / (1 - 0.99**self.step)) + 1e-8)).astype(_F)
+            self._move(p, name, slice(None), d)
+        self._move(p, "embed", rows, values)
+
+    def _move(self, p: dict[str, np.ndarray], name: str, at: slice | np.ndarray, d: np.ndarray) -> None:
+        if name not in self.one:
+            self.one[name], self.two[name] = np.zeros_like(p[name]), np.zeros_like(p[name])
+        one = self.one[name][at] = _F(0.9) * self.one[name][at] + _F(0.1) * d
+        two = self.two[name][at] = _F(0.99) * self.two[name][at] + _F(0.01) * d * d
+        p[name][at] -= (self.rate * (one / (1 - 0.9**self.step)) / (np.sqrt(two / (1 - 0.99**self.step)) + 1e-8)).astype(_F)
 
 
 def windows_of(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,7 +185,7 @@ def fill(flat: np.ndarray, starts: np.ndarray, first: np.ndarray, text: np.ndarr
 
 def model_inputs(symbol: np.ndarray, classes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, target classes and which targets exist, of filled windows."""
-    symbols = np.where(ids[:, :-1] >= 0, symbol[ids[:, :-1]], START)
+    symbols = np.where(ids[:, :-1] >= 0, symbol[ids[:, :-1]], len(symbol))
     targets = ids[:, CONTEXT + 1 :]
     return symbols, classes[targets].astype(np.int64), targets >= 0
 

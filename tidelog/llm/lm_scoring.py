@@ -2,9 +2,9 @@
 
 Both learn from the training documents (crc32 of the id as text, modulo 10, is not 0), the base and all counts from every
 word and id of them. One pass tallies each partition: counts of words (by 64-bit hash), counts of ids by the group of the
-id before (a bounded table), and every `train_every`-th window of ids. The attention model is trained on those windows in
-rounds: each partition takes its share from the round's parameters by its own steps, and the results are averaged,
-weighted by windows. What is tallied, trained on and gathered grows with the corpus; what is broadcast does not: the model, the
+id before (a bounded table), and every `train_every`-th window of ids (all of them, unless told otherwise). The attention
+model is trained on those windows in rounds, each window in one of them: each partition takes its share from the round's
+parameters by its own steps, and the results are averaged, weighted by windows, an id's input vector by its occurrences. What is tallied, trained on and gathered grows with the corpus; what is broadcast does not: the model, the
 table of ids, and the counts of at most `table_words` frequent words. Rarer words meet their counts in a join.
 
 Words are lower-cased (A-Z) runs of bytes other than space and 0x09-0x0D, then one end token. The model's text is the
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.llm import attention
-from tidelog.llm.attention import WIDTH, Adam, Vocabulary
+from tidelog.llm.attention import SIZE, WIDTH, Adam, Vocabulary
 from tidelog.llm.buffers import U64, blocks, spans, sums, words
 from tidelog.llm.scratch import keep, ship
 from tidelog.llm.vocab import Ids, Table, tokenizer
@@ -66,6 +66,18 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def _stored(size: int) -> str:
+    """How ids are written: in two bytes if they fit, -1 as the largest number."""
+    return "<u2" if size < 1 << 16 else "<u4"
+
+
+def _filled(column: pa.Array, size: int) -> np.ndarray:
+    kind = np.dtype(_stored(size))
+    ids = np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, WIDTH + 1).astype(np.int64)
+    ids[ids == np.iinfo(kind).max] = -1
+    return ids
+
+
 def tally(docs: DataFrame, path: str, size: int, end_id: int, train_every: int) -> DataFrame:
     """kind, key, n, ids: what the training documents (`text` of `docs`) hold, one row per partition and key."""
 
@@ -98,7 +110,7 @@ def tally(docs: DataFrame, path: str, size: int, end_id: int, train_every: int)
                 chosen = np.arange(-passed % train_every, len(first), train_every)
                 passed += len(first)
                 filled, _ = attention.fill(flat, at, first[chosen], text[chosen])
-                yield from rows(_WINDOWS, np.arange(len(chosen)) + passed, np.ones(len(chosen)), filled.astype("<i4"))
+                yield from rows(_WINDOWS, np.arange(len(chosen)) + passed, np.ones(len(chosen)), filled.astype(_stored(size)))
         if counted:
             yield from rows(_WORDS, *_merged(counted))
         some = np.flatnonzero(pairs.reshape(-1))
@@ -109,14 +121,19 @@ def tally(docs: DataFrame, path: str, size: int, end_id: int, train_every: int)
 
 
 def _packed(p: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([v.ravel() for v in p.values()])
+    """All parameters in rows of SIZE, "embed" first."""
+    rest = np.concatenate([v.ravel() for k, v in p.items() if k != "embed"])
+    return np.concatenate([p["embed"], np.pad(rest, (0, -len(rest) % SIZE)).reshape(-1, SIZE)])
 
 
-def _unpacked(like: dict[str, np.ndarray], flat: np.ndarray) -> dict[str, np.ndarray]:
-    out, at = {}, 0
+def _unpacked(like: dict[str, np.ndarray], packed: np.ndarray) -> dict[str, np.ndarray]:
+    out, at, rest = {}, 0, packed[len(like["embed"]) :].ravel()
     for name, v in like.items():
-        out[name] = flat[at : at + v.size].reshape(v.shape).astype(np.float32)
-        at += v.size
+        if name == "embed":
+            out[name] = packed[: len(v)].astype(np.float32)
+        else:
+            out[name] = rest[at : at + v.size].reshape(v.shape).astype(np.float32)
+            at += v.size
     return out
 
 
@@ -131,23 +148,28 @@ def train(windows: DataFrame, vocabulary: Vocabulary, *, rounds: int, rate: floa
         def steps(batches: Iterator[pa.RecordBatch], r: int = r, begin=begin) -> Iterator[pa.RecordBatch]:
             own, seen = {k: v.copy() for k, v in begin.value.items()}, 0
             symbol, classes = vocab.value
-            optimizer = Adam(rate * 0.5**r)
+            optimizer, met = Adam(rate * 0.5**r), np.zeros(len(own["embed"]), np.int64)
             for batch in batches:
-                ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<i4").reshape(-1, WIDTH + 1)
+                ids = _filled(batch.column(0), len(symbol))
                 ids = ids[np.random.default_rng(seen).permutation(len(ids))]
                 for i in range(0, len(ids), batch_size):
-                    g, _ = attention.gradient(own, *attention.model_inputs(symbol, classes, ids[i : i + batch_size]))
-                    optimizer.update(own, g)
+                    inputs = attention.model_inputs(symbol, classes, ids[i : i + batch_size])
+                    optimizer.update(own, *attention.sparse_gradient(own, *inputs)[:3])
+                    met += np.bincount(inputs[0].ravel(), minlength=len(met))
                 seen += len(ids)
             if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([_packed(own).astype(np.float64) * seen])], ["n", "values"])
-
-        done = windows.filter(F.pmod("key", F.lit(rounds)) == r).select("ids").mapInArrow(steps, "n long, values array<double>")
-        each = done.select("n", F.posexplode("values")).groupBy("pos").agg(F.sum("col").alias("total"), F.sum("n").alias("n")).toArrow()
+                packed = _packed(own).astype(np.float64)
+                n = np.concatenate([met, np.full(len(packed) - len(met), seen)])
+                for at in np.split(np.flatnonzero(n), range(10_000, np.count_nonzero(n), 10_000)):
+                    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at]), *(pa.array(packed[at, i] * n[at]) for i in range(SIZE))], ["pos", "n", *values])
+
+        values = [f"v{i}" for i in range(SIZE)]
+        done = windows.filter(F.pmod("key", F.lit(rounds)) == r).select("ids").mapInArrow(steps, ", ".join(["pos long", "n long", *(f"{v} double" for v in values)]))
+        each = done.groupBy("pos").agg(F.sum("n").alias("n"), *(F.sum(v).alias(v) for v in values)).toArrow()  # as many rows as the model has
         if each.num_rows:
-            flat = np.zeros(each.num_rows)
-            flat[each["pos"].to_numpy()] = each["total"].to_numpy() / each["n"].to_numpy()
-            p = _unpacked(p, flat)
+            packed = _packed(p).astype(np.float64)
+            packed[each["pos"].to_numpy()] = np.stack([each[v].to_numpy() for v in values], 1) / each["n"].to_numpy()[:, None]
+            p = _unpacked(p, packed)
     return p
 
 
@@ -188,7 +210,7 @@ def _scored(docs: DataFrame, key: str, path: str, end_id: int, model, frequent,
 
 def score_texts(
     docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text", end_id: int | None = None,
-    train_every: int = 8, rounds: int = 4, rate: float = 0.01, table_words: int = 1 << 20,
+    train_every: int = 1, rounds: int = 4, rate: float = 0.01, table_words: int = 1 << 20,
 ) -> DataFrame:
     """One row per document: key, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
