@@ -51,6 +51,17 @@ def test_outliers_go_and_clean_texts_stay(spark):
     assert whole.columns == clashing.columns and {r[0] for r in rows(whole, "doc_id")} == kept
 
 
+def test_short_junk_and_repeats_alone_go(spark):
+    clean = [(i, prose(i, 60 + i % 300)) for i in range(400)]
+    short = [(1000 + i, " ".join(w + "#" * (k % 5 < 2) for k, w in enumerate(words(prose(i, 80))))) for i in range(20)]
+    repeats = []
+    for i in range(10):
+        passage = prose(3000 + i, 100)  # read twice in a text of 700 words: 0.29 of it, below the base rule
+        repeats.append((2000 + i, f"{prose(i, 250)} {passage} {prose(4000 + i, 250)} {passage}"))
+    kept = {r[0] for r in rows(quality.judge(documents(spark, clean + short + repeats)).filter("kept"), "doc_id")}
+    assert kept == {i for i, _ in clean}
+
+
 def test_distance_is_that_of_numpy(spark):
     """The estimate of a large, clean group is close to the plain one of its core, and distances follow from it."""
     docs = documents(spark, [(i, prose(i, 150)) for i in range(300)])

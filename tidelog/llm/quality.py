@@ -1,13 +1,15 @@
 """Quality rules: fixed base rules, then robust multivariate outliers per language and source.
 
 Each document's statistics become a vector: log of its mean word length, log of symbols per word, share of repeated lines,
-share of words in repeated windows, the first two drawn towards the corpus by `prior_words` words, as short texts scatter
-more. For each (lang, source) the minimum-covariance-determinant estimate is found by concentration steps over all
+share of words in repeated windows. For each (lang, source) the minimum-covariance-determinant estimate is found by concentration steps over all
 documents that pass the base rules: distances are binned finely, one aggregation sums the moments of each bin, and the
 innermost bins that hold the share `core` give the next centre and covariance. Centre and covariance are drawn towards
-the pooled ones by the weight of `prior_docs` documents, which settles small groups, and the covariance gets the floors
-FLOOR, which settles statistics that hardly vary. A document is rejected if its squared Mahalanobis distance exceeds
-the chi-square quantile `quantile`. Groups are joined, never collected: only the pooled moments (one row) reach the driver.
+the pooled ones by the weight of `prior_docs` documents, which settles small groups, and each variance gets a floor, a
+quarter (SHARE squared) of the mean square deviation from the group's median over the documents that are ordinary in the
+other statistics, which settles statistics that hardly vary. What a text of its length scatters by chance (NOISE) bounds
+each of its variances from below; values are never drawn towards others. A document is rejected if its squared Mahalanobis
+distance exceeds the chi-square quantile `quantile`. Groups are joined, never collected: only totals and pooled moments
+(one row each) reach the driver.
 
 Defined results: words are runs of bytes other than space and 0x09-0x0D; a null text has none and fails the base rules; a
 null language or source is a group of its own; rows with equal or null ids are judged one by one; an empty table gives an
@@ -31,8 +33,10 @@ from tidelog.llm.scratch import keep, ship
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 VECTOR = ("x0", "x1", "x2", "x3")
-#: Least standard deviation of each statistic: what texts of one kind may differ by.
-FLOOR = (0.03, 0.10, 0.15, 0.15)
+NOISE = ("e0", "e1", "e2", "e3")
+#: Floor of a standard deviation, as a share of the pooled one.
+SHARE = 0.5
+_LEAST = 1e-4
 WINDOW = 8
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[*b"#*$%&|<>"]] = True
@@ -121,28 +125,37 @@ def totals(found: DataFrame) -> tuple[float, float]:
 
 
 def vectors(found: DataFrame, total: tuple[float, float], prior_words: int) -> DataFrame:
-    """Adds VECTOR."""
+    """Adds VECTOR and NOISE, the variances by chance: characters and symbols scatter as Poisson counts, and more in texts
+    of not many more words than `prior_words`; one line and one window may be there twice."""
     length, symbol = total
-    drawn = F.col("n_words") + F.lit(float(prior_words))
+    n = F.greatest("n_words", F.lit(1))
+    wide = 1 + F.lit(float(prior_words)) / n
     return found.withColumns(
         {
-            "x0": F.log((F.col("word_chars") + F.lit(prior_words * length)) / drawn),
-            "x1": F.log1p((F.col("n_symbols") + F.lit(prior_words * symbol)) / drawn),
+            "x0": F.log(F.greatest("word_chars", F.lit(1)) / n),
+            "x1": F.log1p(F.col("n_symbols") / n),
             "x2": F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1)),
-            "x3": F.col("n_repeat_words") / F.greatest("n_words", F.lit(1)),
+            "x3": F.col("n_repeat_words") / n,
+            "e0": wide / (F.lit(length) * n),
+            "e1": wide * (F.lit(symbol) * n + 1) / (n * n),
+            "e2": F.pow(F.greatest("n_lines", F.lit(1)), F.lit(-2.0)),
+            "e3": F.pow(n / (2.0 * WINDOW), F.lit(-2.0)),
         }
     )
 
 
-def distance(centre: list[Column], inverse: dict[tuple[int, int], Column]) -> Column:
-    """Squared Mahalanobis distance."""
+def distance(centre: list[Column], inverse: dict[tuple[int, int], Column], variance: list[Column] | None = None) -> Column:
+    """Squared Mahalanobis distance; with the variances given, each is at least the document's NOISE."""
     away = [F.col(x) - m for x, m in zip(VECTOR, centre)]
+    if variance:
+        away = [a * F.sqrt(F.least(F.lit(1.0), v / F.col(e))) for a, v, e in zip(away, variance, NOISE)]
     return sum((inverse[i, j] * away[i] * away[j] * (1 if i == j else 2) for i, j in _PAIRS), F.lit(0.0))
 
 
 _GROUP = ["group_lang", "group_source"]
 _CENTRE, _MOMENTS = [f"m{i}" for i in range(_P)], [f"s{i}{j}" for i, j in _PAIRS]
 _INVERSE = [f"v{i}{j}" for i, j in _PAIRS]
+_VARIANCE = [f"c{i}" for i in range(_P)]
 
 
 def _square(values: np.ndarray) -> np.ndarray:
@@ -167,8 +180,8 @@ def _core(core: float):
     return concentrate
 
 
-def _settle(pooled: np.ndarray, factor: float, prior_docs: float):
-    """Adds the inverse of the drawn and floored covariance, and its log determinant."""
+def _settle(pooled: np.ndarray, factor: float, prior_docs: float, floor: np.ndarray):
+    """Adds the inverse and the variances of the drawn and floored covariance, and its log determinant."""
 
     def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -176,10 +189,10 @@ def _settle(pooled: np.ndarray, factor: float, prior_docs: float):
             for values in rows.to_numpy().tolist():
                 h, own = values[2], np.array(values[3:])
                 drawn = (h * own + prior_docs * pooled) / (h + prior_docs)
-                covariance = factor * _square(drawn[_P:]) + np.diag(np.square(FLOOR))
+                covariance = factor * _square(drawn[_P:]) + np.diag(floor)
                 inverse = np.linalg.inv(covariance)
-                out.append([*values[:3], *drawn[:_P], *(inverse[i, j] for i, j in _PAIRS), np.linalg.slogdet(covariance)[1]])
-            yield pd.DataFrame(out, columns=[*_GROUP, "h", *_CENTRE, *_INVERSE, "log_det"])
+                out.append([*values[:3], *drawn[:_P], *(inverse[i, j] for i, j in _PAIRS), *np.diag(covariance), np.linalg.slogdet(covariance)[1]])
+            yield pd.DataFrame(out, columns=[*_GROUP, "h", *_CENTRE, *_INVERSE, *_VARIANCE, "log_det"])
 
     return settle
 
@@ -188,21 +201,33 @@ def _schema(names: list[str]) -> str:
     return ", ".join(f"{c} string" if c in _GROUP else f"{c} double" for c in names)
 
 
+def floors(rows: DataFrame, start: DataFrame, limit: float) -> np.ndarray:
+    """Least variance of each statistic: SHARE squared of its mean square deviation from the group's median, over the
+    documents of all groups whose other statistics lie within `limit` of theirs."""
+    away = [F.pow(F.col(x) - F.col(f"q{i}")[1], F.lit(2.0)) for i, x in enumerate(VECTOR)]
+    scale = [F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(2.0)) for i in range(_P)]
+    ratio = [a / (s + F.col(e)) for a, s, e in zip(away, scale, NOISE)]
+    others = [sum((r for j, r in enumerate(ratio) if j != i), F.lit(0.0)) for i in range(_P)]
+    means = rows.join(start, _GROUP).agg(*(F.avg(F.when(o <= limit, a)) for o, a in zip(others, away))).first()
+    return SHARE**2 * np.array([m or 0.0 for m in means]) + _LEAST**2
+
+
 def estimates(found: DataFrame, *, core: float, prior_docs: float, steps: int) -> DataFrame:
-    """Centre and inverse covariance of each group: _GROUP, h, m*, v*, log_det."""
+    """Centre and inverse covariance of each group: _GROUP, h, m*, v*, c* (variances), log_det."""
     spark = found.sparkSession
     rows = found.filter(~F.col("base_failed"))
     q = chi_square_quantile(core, _P)
     factor = core / chi_square(q, _P + 2)  # makes the covariance of the core that of the whole, if it is normal
     # Start: medians, and quartiles for the scales. Rounded values keep each group's count table small.
-    quartiles = [F.percentile(F.round(x, 2), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(x) for x in VECTOR]
-    start = rows.groupBy(*_GROUP).agg(*quartiles)
+    quartiles = [F.percentile(F.round(x, 2), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}") for i, x in enumerate(VECTOR)]
+    start = keep(rows.groupBy(*_GROUP).agg(*quartiles), "quartiles")
+    floor = floors(rows, start, chi_square_quantile(0.999, _P))
     zero = F.lit(0.0)
     now = start.select(
         *_GROUP,
-        *(F.col(x)[1].alias(m) for x, m in zip(VECTOR, _CENTRE)),
-        *((1 / (F.pow((F.col(VECTOR[i])[2] - F.col(VECTOR[i])[0]) / 1.349, F.lit(2.0)) + FLOOR[i] ** 2) if i == j else zero).alias(f"v{i}{j}") for i, j in _PAIRS),
-    )
+        *(F.col(f"q{i}")[1].alias(m) for i, m in enumerate(_CENTRE)),
+        *((1 / (F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(2.0)) + float(floor[i])) if i == j else zero).alias(f"v{i}{j}") for i, j in _PAIRS),
+    ).withColumns({c: 1 / F.col(f"v{i}{i}") for i, c in enumerate(_VARIANCE)})
     now, before = keep(now, "start"), math.inf
     for step in range(steps):
         d2 = distance([F.col(m) for m in _CENTRE], {p: F.col(f"v{p[0]}{p[1]}") for p in _PAIRS})
@@ -219,7 +244,7 @@ def estimates(found: DataFrame, *, core: float, prior_docs: float, steps: int) -
         pooled = raw.agg(*((F.sum(F.col(c) * F.col("h")) / weight).alias(c) for c in [*_CENTRE, *_MOMENTS])).first()
         if pooled[0] is None:
             break
-        now = keep(raw.mapInPandas(_settle(np.array(pooled), factor, prior_docs), _schema([*_GROUP, "h", *_CENTRE, *_INVERSE, "log_det"])), f"estimate{step}")
+        now = keep(raw.mapInPandas(_settle(np.array(pooled), factor, prior_docs, floor), _schema([*_GROUP, "h", *_CENTRE, *_INVERSE, *_VARIANCE, "log_det"])), f"estimate{step}")
         after = now.agg(F.sum(F.col("log_det") * F.col("h")) / weight).first()[0]
         if after >= before - 1e-4:
             break
@@ -228,7 +253,7 @@ def estimates(found: DataFrame, *, core: float, prior_docs: float, steps: int) -
 
 
 def _far() -> Column:
-    return F.when(~F.col("base_failed"), distance([F.col(m) for m in _CENTRE], {p: F.col(f"v{p[0]}{p[1]}") for p in _PAIRS}))
+    return F.when(~F.col("base_failed"), distance([F.col(m) for m in _CENTRE], {p: F.col(f"v{p[0]}{p[1]}") for p in _PAIRS}, [F.col(c) for c in _VARIANCE]))
 
 
 def judge(
@@ -244,7 +269,7 @@ def judge(
     found = keep(statistics(docs, key=key, **columns), "statistics")
     total = totals(found)
     found = vectors(found, total, prior_words)
-    known = estimates(found, core=core, prior_docs=prior_docs, steps=steps).select(*_GROUP, *_CENTRE, *_INVERSE)
+    known = estimates(found, core=core, prior_docs=prior_docs, steps=steps).select(*_GROUP, *_CENTRE, *_INVERSE, *_VARIANCE)
     limit = chi_square_quantile(quantile, _P)
     kept = F.coalesce(_far() <= limit, F.lit(False))
     if whole:
