@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from brute import documents, odd_texts, rows, with_clashes
 from tidelog.llm import queries, secrets_scan
 
@@ -45,6 +47,21 @@ def test_given_labels_decide(spark):
     assert {r[0] for r in rows(found.filter("is_secret"), "doc_id")} == {i for i, _ in numbers}
 
 
+def test_rare_secrets_are_learned_from(spark):
+    real, numbers, paths = texts()
+    found = secrets_scan.scan(documents(spark, real[:4] + numbers + paths), labelled_rows=8)
+    assert {r[0] for r in rows(found.filter("is_secret"), "doc_id")} >= {i for i, _ in real[:4]}
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    real, numbers, _ = texts()
+    features = secrets_scan.weak_labels(secrets_scan.features(secrets_scan.candidates(documents(spark, real + numbers)))).localCheckpoint()
+    one = features.filter("label = 0").orderBy(F.xxhash64("label", *secrets_scan.FEATURES)).limit(1)
+    copied = features.unionByName(one.crossJoin(spark.range(500)).drop("id"))
+    judged = secrets_scan.judge(features, copied, labelled_rows=200)
+    assert {r[0] for r in rows(judged.filter("is_secret"), "doc_id")} == {i for i, _ in real}
+
+
 def test_masking(spark):
     real, numbers, _ = texts()
     docs = with_clashes(documents(spark, real + numbers + odd_texts()), "secrets", "secret_key")

@@ -6,7 +6,9 @@ words beside it. The forest learns from labelled findings; `weak_labels` makes s
 way. The dictionary is the words that stand near candidates anywhere in the corpus, with their counts. Only DataFrame
 functions and Spark's own random forest are used.
 
-The forest is fitted on at most `labelled_rows` labelled findings (those of the least hashes); every candidate is judged.
+Labelled findings of equal features are one row, weighted by their number. The forest is fitted on at most `labelled_rows`
+such rows, half of them for each label, or more where the other label has fewer (those of the least hashes); weights bring
+each label back to its number of findings. Every candidate is judged.
 
 Defined results: a null text has no candidate; rows with equal or null ids are scanned one by one, each candidate of a
 text is a finding of its own, at its own start (characters before it); without labels of both kinds every finding gets
@@ -15,6 +17,7 @@ the label that there is (false, without any). Only the id, text and source are r
 
 from __future__ import annotations
 
+from functools import reduce
 from string import ascii_lowercase, ascii_uppercase, digits
 
 from pyspark.ml.classification import RandomForestClassifier
@@ -105,13 +108,21 @@ def weak_labels(found: DataFrame) -> DataFrame:
 
 def judge(found: DataFrame, labelled: DataFrame, *, labelled_rows: int = 20_000, trees: int = 32, depth: int = 6, limit: float = 0.5) -> DataFrame:
     """Adds probability and is_secret (probability >= limit) to findings with FEATURES; `labelled` has FEATURES and label."""
-    rows = labelled.filter(F.col("label").isNotNull()).select("label", *FEATURES)
-    rows = keep(rows.orderBy(F.xxhash64("label", *FEATURES)).limit(labelled_rows), "labelled")
-    least, most = rows.agg(F.min("label"), F.max("label")).first()
-    if least == most:
-        return found.withColumns({"probability": F.lit(float(most or 0.0)), "is_secret": F.lit(bool(most))})
+    rows = labelled.filter(F.col("label").isNotNull()).select(F.col("label").cast("double").alias("label"), *FEATURES)
+    rows = keep(rows.groupBy("label", *FEATURES).agg(F.count("*").cast("double").alias("copies")), "labelled")
+    sizes = {r["label"]: r for r in rows.groupBy("label").agg(F.count("*").alias("n"), F.sum("copies").alias("copies")).collect()}
+    if len(sizes) < 2:
+        only = max(sizes, default=0.0)
+        return found.withColumns({"probability": F.lit(float(only)), "is_secret": F.lit(bool(only))})
+    # Taken label by label: a rare label keeps its rows however many the other one has.
+    least = {label: max(labelled_rows // 2, labelled_rows - sum(r["n"] for other, r in sizes.items() if other != label)) for label in sizes}
+    taken = [rows.filter(F.col("label") == label).orderBy(F.xxhash64("label", *FEATURES)).limit(n) for label, n in least.items()]
+    rows = keep(reduce(DataFrame.unionByName, taken), "sample")
+    held = {r["label"]: r["copies"] for r in rows.groupBy("label").agg(F.sum("copies").alias("copies")).collect()}
+    share = reduce(lambda c, label: c.when(F.col("label") == label, sizes[label]["copies"] / held[label]), held, F)
+    rows = rows.withColumn("weight", F.col("copies") * share)
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    forest = RandomForestClassifier(labelCol="label", featuresCol="features", probabilityCol="votes", numTrees=trees, maxDepth=depth, seed=7)
+    forest = RandomForestClassifier(labelCol="label", featuresCol="features", weightCol="weight", probabilityCol="votes", numTrees=trees, maxDepth=depth, seed=7)
     model = forest.fit(vectors.transform(rows))
     voted = model.transform(vectors.transform(found)).withColumn("probability", vector_to_array("votes")[1])
     return voted.drop("features", "votes", "rawPrediction", "prediction").withColumn("is_secret", F.col("probability") >= limit)
