@@ -74,3 +74,22 @@ def test_empty_tables(spark):
     docs = documents(spark, [(1, "a b c d e f g h")])
     assert decontaminate.leaks(docs, none).count() == 0 and decontaminate.clean(docs, none).count() == 1
     assert decontaminate.leaks(docs.limit(0), some).count() == 0 and decontaminate.leaks(docs, some).count() == 1
+
+
+def test_long_excerpts_are_leaks_whatever_the_item_holds_besides(spark):
+    item, long = prose(7, 59), prose(8, 500)
+    around = [" ".join(prose(400, 60)), " ".join(prose(401, 60))]
+    parts = [item[20:48], long[100:340], long[400:413], [w if k != 6 else "other" for k, w in enumerate(long[50:64])]]
+    none = [item[20:30], [w if k % 2 else "other" for k, w in enumerate(item[:28])]]
+    texts = [(i, f"{around[0]} {' '.join(part)} {around[1]}") for i, part in enumerate(parts + none)]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(long))], "item_id long, text string")
+    docs = documents(spark, texts)
+    assert rows(decontaminate.leaks(docs, bench), "doc_id", "item_id") == [(0, 1), (1, 2), (2, 2), (3, 2)]
+    assert rows(decontaminate.clean(docs, bench), "doc_id") == [(4,), (5,)]
+
+
+def test_a_common_excerpt_keeps_its_seeds(spark):
+    item = prose(9, 60)
+    texts = [(i, " ".join(prose(500 + i, 30) + item[20:33] + prose(700 + i, 30))) for i in range(40)]
+    found = decontaminate.leaks(documents(spark, texts), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+    assert found.count() == 40

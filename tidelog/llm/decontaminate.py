@@ -1,10 +1,12 @@
 """Benchmark decontamination: rare n-gram seeds lead to passages, a Smith-Waterman alignment scores them.
 
 Words are compared in lower case (A-Z) and without ASCII punctuation. A first pass counts in how many documents each word
-n-gram of the benchmark occurs; each item drops its commonest quarter and keeps the rest as seeds, so a leak in a third
-of all documents still has seeds. A second pass finds the seeds in the documents, forms a window of words around each
+n-gram of the benchmark occurs; each item drops its commonest quarter and keeps the rest as seeds, and the rarest of each
+few in a row, so a leak in a third of all documents still has seeds, and each stretch of `excerpt` words has one. A second pass finds the seeds in the documents, forms a window of words around each
 group of them, and aligns item and window: 2 for an equal word, -1 for another one or a gap. The score is the share of
-the item's own alignment that is reached; edited and paraphrased copies keep most of it.
+the item's own alignment that is reached; edited and paraphrased copies keep most of it. An item is found if that share
+reaches `threshold`, or if a stretch of at least `excerpt` of its words, from one equal word to another, reaches that share
+of the stretch's own score: an excerpt counts however long the item is.
 
 The benchmark goes to the tasks in slices of at most `slice_words` words, each with its own passes, so what is broadcast
 is bounded whatever the benchmark's size. Documents are not shuffled.
@@ -67,13 +69,17 @@ class Seeds:
         self.table = Table(max(4, (2 * len(self.keys) + 1).bit_length()))
         self.table.put(self.keys, np.arange(len(self.keys)))
 
-    def rare(self, documents: np.ndarray) -> None:
-        """Drops the commonest quarter of each item's n-grams; `documents` counts them for each key."""
+    def rare(self, documents: np.ndarray, excerpt: int) -> None:
+        """Drops the commonest quarter of each item's n-grams, but none that is the rarest of its block, of which each
+        stretch of `excerpt` words holds a whole one; `documents` counts them for each key."""
         count = documents[np.repeat(np.arange(len(self.keys)), self.stop - self.start)]
         order = np.lexsort((self.offset, count, self.item))
         sizes = np.bincount(self.item)
         place = np.arange(len(order)) - (np.cumsum(sizes) - sizes)[self.item[order]]
-        kept = np.sort(order[place < np.ceil(0.75 * sizes)[self.item[order]]])
+        stays = place < np.ceil(0.75 * sizes)[self.item[order]]
+        block = self.offset[order] // max(1, (excerpt - self.n + 2) // 2)
+        stays[np.unique(np.stack([self.item[order], block]), axis=1, return_index=True)[1]] = True
+        kept = np.sort(order[stays])
         self._index(self.gram[kept], self.item[kept], self.offset[kept])
 
     def find(self, hashes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,6 +109,32 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> np.ndarray:
     return best
 
 
+def holds_excerpt(items: list[np.ndarray], passages: list[np.ndarray], threshold: float, least: int) -> np.ndarray:
+    """Whether a stretch of at least `least` words of each item reaches `threshold` of its own score in the passage.
+
+    A local alignment as in `align`, less the score that each word of the stretch has to bring: what stays at or above
+    zero reaches the threshold. Each value holds, below the score, where in the item its stretch begins.
+    """
+    height, width = max(map(len, items)), max(map(len, passages))
+    rows, columns = np.zeros((len(items), height), U64), np.ones((len(items), width), U64)
+    for i, (item, passage) in enumerate(zip(items, passages)):
+        rows[i, : len(item)], columns[i, : len(passage)] = item, passage
+    filled = np.arange(height) < np.array([len(i) for i in items])[:, None]
+    begin = 1 << (height + 1).bit_length()  # more than any place in an item
+    cost = lambda score: round(64 * score) * begin
+    same, other, gap = cost(2 - 2 * threshold), cost(-1 - 2 * threshold), cost(-1)
+    place = -gap * np.arange(width + 1, dtype=np.int64)
+    before, found = np.full((len(items), width + 1), -1, np.int64), np.zeros(len(items), bool)
+    for i in range(height):
+        equal = (columns == rows[:, i : i + 1]) & filled[:, i : i + 1]
+        now = np.full_like(before, -1)
+        onward = np.maximum(before[:, :-1], begin - 1 - i) + np.where(equal, same, other)
+        found |= (equal & (begin - 1 - onward % begin <= i + 1 - least)).any(1)
+        now[:, 1:] = np.maximum(onward, before[:, 1:] + other)
+        before = np.maximum.accumulate(now + place, axis=1) - place
+    return found
+
+
 def passages(seeds: Seeds, hashes: np.ndarray, row: np.ndarray) -> list[tuple[int, int, int, int]]:
     """(row, item, first word, word after the last) of each window around seeds of one item."""
     at, key = seeds.find(hashes, row)
@@ -126,8 +158,8 @@ def passages(seeds: Seeds, hashes: np.ndarray, row: np.ndarray) -> list[tuple[in
     return list(zip(rows.tolist(), item[group].tolist(), low.tolist(), high.tolist()))
 
 
-def best_scores(known: Seeds, data: np.ndarray, starts: np.ndarray, threshold: float) -> dict[tuple[int, int], tuple[float, int, int]]:
-    """Of each (row, item) that reaches the threshold: score, first word and word after the last of the best window."""
+def best_scores(known: Seeds, data: np.ndarray, starts: np.ndarray, threshold: float, excerpt: int) -> dict[tuple[int, int], tuple[float, int, int]]:
+    """Of each (row, item) that reaches the threshold or holds an excerpt: score, first word and word after the last of the best window."""
     hashes, row = folded_words(data, starts)
     found = passages(known, hashes, row)
     found.sort(key=lambda p: p[3] - p[2])  # like sizes are aligned together
@@ -135,15 +167,21 @@ def best_scores(known: Seeds, data: np.ndarray, starts: np.ndarray, threshold: f
     for i in range(0, len(found), 256):
         part = found[i : i + 256]
         own = [known.words[known.first[p[1]] : known.first[p[1] + 1]] for p in part]
-        for (r, item, low, high), words_, reached in zip(part, own, align(own, [hashes[p[2] : p[3]] for p in part]).tolist()):
-            whole = 2 * len(words_)
-            if reached >= max(threshold * whole, min(12, whole)):
-                begin = int(np.searchsorted(row, r))
-                best[r, item] = max(best.get((r, item), (0.0, 0, 0)), (reached / whole, low - begin, high - begin))
+        texts = [hashes[p[2] : p[3]] for p in part]
+        reached = align(own, texts)
+        whole = 2 * np.array([len(w) for w in own])
+        leaks_ = reached >= np.maximum(threshold * whole, np.minimum(12, whole))
+        open_ = np.flatnonzero(~leaks_ & (whole >= 2 * excerpt) & (reached >= 2 * threshold * excerpt))
+        if len(open_):
+            leaks_[open_] = holds_excerpt([own[k] for k in open_], [texts[k] for k in open_], threshold, excerpt)
+        for k in np.flatnonzero(leaks_).tolist():
+            r, item, low, high = part[k]
+            begin = int(np.searchsorted(row, r))
+            best[r, item] = max(best.get((r, item), (0.0, 0, 0)), (float(reached[k] / whole[k]), low - begin, high - begin))
     return best
 
 
-def _slice(docs: DataFrame, bench: pa.Table, *, key: str, text: str, item_key: str, n: int, threshold: float, found_rows: bool = True) -> DataFrame:
+def _slice(docs: DataFrame, bench: pa.Table, *, key: str, text: str, item_key: str, n: int, threshold: float, excerpt: int, found_rows: bool = True) -> DataFrame:
     """The leaks of a slice of the benchmark, or else the documents without any."""
     spark = docs.sparkSession
     seeds = Seeds(bench.column(1).combine_chunks() if bench.num_rows else pa.array([], pa.string()), n)
@@ -163,13 +201,13 @@ def _slice(docs: DataFrame, bench: pa.Table, *, key: str, text: str, item_key: s
     counts = docs.select(text).mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     documents = np.zeros(len(seeds.keys), np.int64)  # as many as the slice has n-grams
     documents[counts["gram"].to_numpy()] = counts["n"].to_numpy()
-    seeds.rare(documents)
+    seeds.rare(documents, excerpt)
     rare, items = spark.sparkContext.broadcast(seeds), bench.column(0).combine_chunks() if bench.num_rows else pa.array([], bench.schema.field(0).type)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, data, starts in blocks(batch.column(1)):
-                best = best_scores(rare.value, data, starts, threshold)
+                best = best_scores(rare.value, data, starts, threshold, excerpt)
                 if best:
                     rows, found = zip(*best)
                     values = list(zip(*best.values()))
@@ -180,7 +218,7 @@ def _slice(docs: DataFrame, bench: pa.Table, *, key: str, text: str, item_key: s
         for batch in batches:
             for first, last, data, starts in blocks(batch.column(1)):
                 stays = np.ones(last - first, bool)
-                stays[[row for row, _ in best_scores(rare.value, data, starts, threshold)]] = False
+                stays[[row for row, _ in best_scores(rare.value, data, starts, threshold, excerpt)]] = False
                 part = batch.slice(first, last - first).filter(pa.array(stays))
                 if part.num_rows:
                     yield part
@@ -210,19 +248,19 @@ def _slices(benchmark: DataFrame, item_key: str, item_text: str, slice_words: in
 
 def leaks(
     docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
-    n: int = 3, threshold: float = 0.5, slice_words: int = 1_000_000,
+    n: int = 3, threshold: float = 0.5, excerpt: int = 13, slice_words: int = 1_000_000,
 ) -> DataFrame:
     """One row per document and item that it holds: key, item_key, score, first_word, end_word (the window in the document)."""
     ship(docs.sparkSession)
-    options = {"key": key, "text": text, "item_key": item_key, "n": n, "threshold": threshold}
+    options = {"key": key, "text": text, "item_key": item_key, "n": n, "threshold": threshold, "excerpt": excerpt}
     return reduce(DataFrame.unionByName, [_slice(docs, part, **options) for part in _slices(benchmark, item_key, item_text, slice_words)])
 
 
 def clean(
-    docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_key: str = "item_id", item_text: str = "text", n: int = 3, threshold: float = 0.5, slice_words: int = 1_000_000
+    docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_key: str = "item_id", item_text: str = "text", n: int = 3, threshold: float = 0.5, excerpt: int = 13, slice_words: int = 1_000_000
 ) -> DataFrame:
     """`docs`, all columns, without the documents that hold an item. Judged where they lie, without a join."""
     ship(docs.sparkSession)
     for part in _slices(benchmark, item_key, item_text, slice_words):
-        docs = _slice(docs, part, key="", text=text, item_key=item_key, n=n, threshold=threshold, found_rows=False)
+        docs = _slice(docs, part, key="", text=text, item_key=item_key, n=n, threshold=threshold, excerpt=excerpt, found_rows=False)
     return docs
