@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import decontaminate, lm_scoring, near_dup, packing, quality, secrets_scan, suffix_dedup, token_counts, url_filters, warc
+from tidelog.llm import conversation_trie, decontaminate, lm_scoring, near_dup, packing, preference_quality, quality, secrets_scan, spelling, suffix_dedup
+from tidelog.llm import token_counts, url_filters, warc
 
 RULES = [
     ("com", "/", "allow"),
@@ -84,6 +85,20 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_texts(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.nodes(table(spark, sf_dir, "conversations"))
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    labels = table(spark, sf_dir, "labels").filter(~held_out)
+    return preference_quality.judge(table(spark, sf_dir, "documents"), labels).withColumn("held_out", held_out)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: value for name, value in globals().items() if name.startswith("op") and callable(value)}
 
