@@ -69,7 +69,7 @@ def main() -> None:
 
     # The whole write path of one micro-batch holding the complete log, and of a small one.
     root = tempfile.mkdtemp(prefix="bench-")
-    fixtures.order_log(spark, SF_DIR).write.parquet(f"{root}/log")
+    fixtures.order_log(spark, SF_DIR, partitions=int(CPUS)).write.parquet(f"{root}/log")
     records = read_from_files(spark, f"{root}/log")
     n = records.count()
     store = Store(spark, f"{root}/store", buckets=8).create()

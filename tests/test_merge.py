@@ -88,6 +88,86 @@ def test_any_batching_equals_sequential_replay(spark, seed, keys, length, span):
     assert resolved(merge.fold(states, FIELDS)) == want
 
 
+def dealt(events, seed, parts=5):
+    """Any records in any batch, most in one and some in several: nothing is contiguous."""
+    rng = random.Random(seed)
+    out = [e + (rng.randrange(parts),) for e in events for _ in range(rng.choice([1, 1, 1, 2]))]
+    rng.shuffle(out)
+    return out
+
+
+def in_time(events):
+    """Sequential application in the order of the source's times, ties by position."""
+    again = sorted(events, key=lambda e: (e[5], e[2], e[3]))
+    return replayed([e[:3] + (i,) + e[4:] for i, e in enumerate(again)])
+
+
+def folded_in_steps(spark, rows, order, complete=None):
+    """Each batch collapsed alone and folded into what the ones before have left."""
+    kept = None
+    for n in sorted({r[-1] for r in rows}):
+        events = spark.createDataFrame([r for r in rows if r[-1] == n], SCHEMA)
+        states = merge.collapse(events, FIELDS, span=64, gaps=True, order=order)
+        kept = states if kept is None else merge.fold(kept.unionByName(states), FIELDS, order=order)
+        kept = spark.createDataFrame(kept.collect(), kept.schema)
+    return kept
+
+
+def states_resolved(states, order):
+    rows = merge.resolve(states, FIELDS, order=order).collect()
+    assert len({r["order_id"] for r in rows}) == len(rows)
+    return {r["order_id"]: (r["first_ms"], r["event_ms"], r["status"]) for r in rows}
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(seed=st.integers(0, 10**6), keys=st.integers(1, 40), length=st.integers(1, 300))
+def test_any_subsets_equal_sequential_replay(spark, seed, keys, length):
+    events = make_log(seed, keys, length)
+    rows = dealt(events, seed)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    for order, want in ((merge.ARRIVAL, replayed(events)), (merge.SOURCE_TIME, in_time(events))):
+        states = merge.collapse(frame, FIELDS, span=64, apart=["batch"], gaps=True, order=order)
+        assert states_resolved(states, order) == want
+        assert states_resolved(merge.fold(states, FIELDS, order=order), order) == want
+        assert states_resolved(folded_in_steps(spark, rows, order), order) == want
+
+
+def test_only_broken_partitions_keep_candidates(spark):
+    """Partition 0 is unbroken and leaves one state a key, partition 1 lacks a record that comes later."""
+    key = lambda p, o, ms, gone=False: (f"k{p}", "t", p, o, 10 + o, ms, gone, None if gone else f"s{o}", 1)
+    rows = [key(p, o, 100 + o) for p in (0, 1) for o in (0, 1, 3, 4)] + [key(0, 2, 102)]
+    states = merge.collapse(spark.createDataFrame(rows, SCHEMA), FIELDS, gaps=F.col("partition") == 1)
+    assert {r["partition"]: r["n"] for r in states.groupBy("partition").agg(F.count("*").alias("n")).collect()} == {0: 1, 1: 4}
+    late = merge.collapse(spark.createDataFrame([key(1, 2, 102, True)], SCHEMA), FIELDS, gaps=True)
+    assert resolved(merge.fold(states.unionByName(late), FIELDS)) == {"k0": (100, 104, "s4"), "k1": (103, 104, "s4")}
+
+
+def test_known_offsets_need_one_first_write(spark):
+    rows = [("k", "t", 0, o, 10, 100 + o, False, f"s{o}", 1) for o in range(50)]
+    states = merge.collapse(spark.createDataFrame(rows, SCHEMA), FIELDS, gaps=True)
+    assert states.count() == 50
+    known = lambda upto: spark.createDataFrame([("t", 0, upto)], "topic string, partition int, upto bigint")
+    assert merge.fold(states, FIELDS, complete=known(39)).count() == 1 + 10
+    whole = merge.fold(states, FIELDS, complete=known(49))
+    assert whole.count() == 1 and resolved(whole) == {"k": (100, 149, "s49")}
+
+
+def test_late_events_lose_by_source_time_only(spark):
+    """A replayed older update arrives last, and a late delete falls between two writes."""
+    rows = [
+        ("k", "t", 0, 1, 10, 100, False, "first", 1),
+        ("k", "t", 0, 2, 11, 300, False, "newest", 1),
+        ("k", "t", 1, 9, 99, 200, False, "late", 1),
+        ("j", "t", 0, 3, 10, 100, False, "a", 1),
+        ("j", "t", 0, 4, 11, 300, False, "b", 1),
+        ("j", "t", 0, 5, 12, 200, True, None, 1),
+    ]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert states_resolved(merge.collapse(frame, FIELDS), merge.ARRIVAL) == {"k": (100, 200, "late")}
+    by_time = merge.collapse(frame, FIELDS, order=merge.SOURCE_TIME)
+    assert states_resolved(by_time, merge.SOURCE_TIME) == {"k": (100, 300, "newest"), "j": (300, 300, "b")}
+
+
 @pytest.mark.parametrize(
     "ops, want",
     [

@@ -77,6 +77,13 @@ CASES = {
     "total large": (record(envelope("c", dict(PLAIN, total=999999999.99))), dict(n_total=999999999.99)),
     "total decimal": (record(envelope("c", dict(PLAIN, total={"$numberDecimal": "12.50"}))), dict(n_total=12.5)),
     "total long": (record(envelope("c", dict(PLAIN, total={"$numberLong": "42"}))), dict(n_total=42.0)),
+    "total decimal point first": (record(envelope("c", dict(PLAIN, total={"$numberDecimal": "-.5"}))), dict(n_total=-0.5, disposition="upsert")),
+    "total decimal point last": (record(envelope("c", dict(PLAIN, total={"$numberDecimal": " 7. "}))), dict(n_total=7.0)),
+    "total decimal plus": (record(envelope("c", dict(PLAIN, total={"$numberDecimal": "+012.5"}))), dict(n_total=12.5)),
+    "total long plus": (record(envelope("c", dict(PLAIN, total={"$numberLong": "+5"}))), dict(n_total=5.0)),
+    "total infinite": (record(envelope("c", dict(PLAIN, total={"$numberDecimal": "-Infinity"}))), dict(n_total=float("-inf"), disposition="upsert")),
+    "bad decimal": (record(envelope("c", dict(PLAIN, total={"$numberDecimal": "+-5"}))), dict(disposition="dlq", error=ERROR_NUMBER)),
+    "bad decimal point": (record(envelope("c", dict(PLAIN, total={"$numberDecimal": "."}))), dict(disposition="dlq", error=ERROR_NUMBER)),
     "total bad text": (record(envelope("c", dict(PLAIN, total="abc"))), dict(disposition="dlq", error="transform_failed: total")),
     "total java suffix": (record(envelope("c", dict(PLAIN, total="12d"))), dict(disposition="dlq", error="transform_failed: total")),
     "total list": (record(envelope("c", dict(PLAIN, total=[1]))), dict(disposition="dlq", error="transform_failed: total")),

@@ -30,10 +30,16 @@ _AFTER = r"(?=\s*(?:[,\]}]|$))"
 _WRAPPERS = (
     (
         ('"$number',),
-        r'\{\s*"\$number(?:(?:Long|Int)"\s*:\s*"?\s*(-?)0*(\d+)'
-        r'|Decimal"\s*:\s*"?\s*(-?)0*(\d+(?:\.\d+)?(?:[eE][+-]?\d+)?))\s*"?\s*\}' + _AFTER,
+        r'\{\s*"\$number(?:(?:Long|Int)"\s*:\s*"?\s*(?:\+|(-))?0*(\d+)'
+        r'|Decimal"\s*:\s*"?\s*(?:\+|(-))?0*(\d+(?:\.\d+)?(?:[eE][+-]?\d+)?))\s*"?\s*\}' + _AFTER,
         " $1$2$3$4 ",
     ),
+    # Decimals that JSON has no number for stay texts, which the numeric fields read.
+    (
+        ('"$numberDecimal',),
+        r'\{\s*"\$numberDecimal"\s*:\s*"\s*\+?(-?(?:(?:\d*\.\d+|\d+\.)(?:[eE][+-]?\d+)?|(?i:infinity|inf|nan)))\s*"\s*\}' + _AFTER,
+        ' "$1" ',
+    ),
     (
         ('"$oid', '"$date'),
         r'\{\s*"\$(?:oid"\s*:\s*(' + _STRING + r')'

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidelog.functions.rows import one_row, or_zero
-from tidelog.operators.percentiles import exact_percentiles
+from tidelog.operators.percentiles import exact_percentiles, percentiles_of_counts
 from tidelog.operators.project import recent_view
 
 # Reported percentiles and throughput windows.
@@ -59,6 +59,43 @@ def kpis(metrics: DataFrame, as_of: Column | None = None) -> DataFrame:
     return one_row(totals, percentiles)
 
 
+def daily_counts(metrics: DataFrame) -> DataFrame:
+    """What ``kpis`` needs of the metric rows of each ``day``: per latency their number, sums and newest time.
+
+    Counts of disjoint rows add up, so a day may have several rows for a latency.
+    """
+    summed = [column for column in _AVERAGES.values() if column != "e2e_lat_ms"]
+    return metrics.groupBy("day", "e2e_lat_ms").agg(
+        F.count("*").alias("n"),
+        F.max("recorded_at").alias("newest"),
+        *(F.sum(F.col(column).cast("bigint")).alias(column) for column in summed),
+        *(F.count(column).alias(f"n_{column}") for column in summed),
+    )
+
+
+def kpis_of_counts(counts: DataFrame, metrics: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """The report of ``kpis`` from ``daily_counts``. Of the metric rows themselves only the last minutes are read.
+
+    ``as_of`` defaults to the newest time counted.
+    """
+    as_of = counts.agg(F.max("newest")).scalar() if as_of is None else as_of
+    known = F.col("e2e_lat_ms").isNotNull()
+
+    def mean(column: str) -> Column:
+        if column == "e2e_lat_ms":
+            total, n = F.sum(F.col(column) * F.col("n")), F.sum(F.when(known, F.col("n")))
+        else:
+            total, n = F.sum(column), F.sum(f"n_{column}")
+        return or_zero(F.round(F.try_divide(total.cast("double"), n)))
+
+    totals = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_docs"), *(mean(column).alias(name) for name, column in _AVERAGES.items())
+    )
+    values = counts.filter(known).groupBy(F.col("e2e_lat_ms").alias("v")).agg(F.sum("n").alias("n"))
+    percentiles = percentiles_of_counts(values, PERCENTILES).select(*(or_zero(F.rint(name)).alias(name) for name in PERCENTILES))
+    return one_row(totals, percentiles, throughput(metrics, as_of))
+
+
 def latest(metrics: DataFrame, n: int) -> DataFrame:
     """The n newest rows; ties break by position, so the choice is stable."""
     return metrics.orderBy(*(F.desc(c) for c in _NEWEST)).limit(n)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from tidelog.functions.rows import one_row
 from tidelog.functions.times import iso_text
@@ -25,6 +28,48 @@ def positions_of_log(records: DataFrame) -> DataFrame:
     )
 
 
+def batch_summary(events: DataFrame, counts: Mapping[str, Column]) -> DataFrame:
+    """One row per topic partition of a batch: ``low``, ``committed``, ``unbroken``, and ``counts`` (name -> test).
+
+    ``unbroken`` tells whether the batch holds every offset from the first to
+    the last. Offsets are marked in bitmaps, so that repeated records count
+    once and nothing but the bitmaps is shuffled.
+    """
+    marks = F.bitmap_construct_agg(F.bitmap_bit_position("offset"))
+    parts = events.groupBy("topic", "partition", F.bitmap_bucket_number("offset").alias("_bucket")).agg(
+        F.min("offset").alias("low"),
+        F.max("offset").alias("last"),
+        F.bitmap_count(marks).alias("held"),
+        *(F.count_if(test).alias(name) for name, test in counts.items()),
+    )
+    return parts.groupBy("topic", "partition").agg(
+        F.min("low").alias("low"),
+        (F.max("last") + 1).alias("committed"),
+        (F.sum("held") == F.max("last") + 1 - F.min("low")).alias("unbroken"),
+        *(F.sum(name).alias(name) for name in counts),
+    )
+
+
+def complete_positions(audit: DataFrame) -> DataFrame:
+    """How far each topic partition is known without a gap: ``topic, partition, upto``, from audited batches.
+
+    Unbroken batches are put in the order of their first offset; the first
+    that begins behind the end of all before it ends the run. Batches that are
+    broken themselves add nothing.
+    """
+    own = Window.partitionBy("topic", "partition").orderBy("low", "committed")
+    reached = F.max("committed").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    runs = audit.filter("unbroken").withColumn("_gap", F.col("low") > F.coalesce(reached, F.col("low")))
+    known = runs.withColumn("_behind", F.max("_gap").over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return known.filter(~F.col("_behind")).groupBy("topic", "partition").agg((F.max("committed") - 1).alias("upto"))
+
+
+def lag_of_job(audit: DataFrame, log: DataFrame) -> DataFrame:
+    """Offset positions of a job: what its latest audit says is committed, against what the log holds."""
+    committed = audit.groupBy("topic", "partition").agg(F.max_by("committed", F.struct("ts", "committed")).alias("committed"))
+    return conform(positions_of_log(log).join(committed, ["topic", "partition"], "left"), OFFSETS)
+
+
 def positions_of_progress(progress: DataFrame) -> DataFrame:
     """Offset positions from a streaming query's progress, one row per report.
 
@@ -150,9 +195,6 @@ def starting_offsets(offsets: DataFrame, position: str | int) -> DataFrame:
     return per_topic.agg(F.concat(F.lit("{"), F.array_join(topics, ","), F.lit("}")).alias("starting_offsets"))
 
 
-def audit_rows(positions: DataFrame, at: Column, group: str = CONSUMER_GROUP) -> DataFrame:
-    """Audit rows for committed positions (``topic, partition, committed``)."""
-    return conform(
-        positions.select(iso_text(at).alias("ts"), F.lit(group).alias("group_id"), "topic", "partition", "committed"),
-        OFFSET_AUDIT,
-    )
+def audit_rows(positions: DataFrame, at: Column, group: str = CONSUMER_GROUP, schema: StructType = OFFSET_AUDIT) -> DataFrame:
+    """Audit rows for committed positions (``topic, partition, committed``, and what else the schema names)."""
+    return conform(positions.select("*", iso_text(at).alias("ts"), F.lit(group).alias("group_id")), schema)

@@ -23,6 +23,11 @@ def exact_percentiles(df: DataFrame, column: str, points: Mapping[str, float]) -
     ``percentile_cont`` does.
     """
     counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("bigint").alias("v")).agg(F.count("*").alias("n"))
+    return percentiles_of_counts(counts, points)
+
+
+def percentiles_of_counts(counts: DataFrame, points: Mapping[str, float]) -> DataFrame:
+    """The same from counted values, ``v`` and ``n``, a row per value."""
     wanted = F.array(*(F.struct(F.lit(name).alias("name"), F.lit(p).alias("p")) for name, p in points.items()))
     # Two ranks per point: a fixed handful of rows.
     ranks = (

@@ -94,8 +94,9 @@ def first_messages(messages: DataFrame, limit: int) -> DataFrame:
 
 
 def replay_messages(plan: DataFrame) -> DataFrame:
-    """Messages to produce, each to its own source topic."""
-    return plan.filter(F.col("action") == REPLAYED).select("topic", "key", "value", "headers")
+    """Messages to produce, each to its own source topic, with the position they failed at."""
+    position = (F.col(f"source_{c}").try_cast(kind).alias(f"from_{c}") for c, kind in (("partition", "int"), ("offset", "bigint")))
+    return plan.filter(F.col("action") == REPLAYED).select("topic", "key", "value", "headers", *position)
 
 
 def replay_dead_letters(plan: DataFrame) -> DataFrame:

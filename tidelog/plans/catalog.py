@@ -7,20 +7,26 @@ SQL over the base tables in :mod:`tidelog.plans.expected`.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidelog.functions.times import timestamp_to_ms
 from tidelog.functions.rows import one_row
 from tidelog.operators import classify as C
-from tidelog.operators import items, kpi, lag, merge, project, quarantine, verify
+from tidelog.operators import drift, items, kpi, lag, merge, project, quarantine, verify
 from tidelog.operators.parse import parse_changes
+from tidelog.schemas import METRICS, conform
 from tidelog.session import shared_folder
+from tidelog.sinks.batches import Batch, batch_schema, write_batch
+from tidelog.sinks.daily_counts import DailyCounts
 from tidelog.sources import fixtures as X
-from tidelog.sources.changes import stream_from_files, stream_quarantine_files
+from tidelog.sources.changes import read_from_files, stream_from_files, stream_quarantine_files, stream_replay_log
 from tidelog.spec import LINE_ITEMS, ORDERS, ORDERS_FLAT, SPECS, TRANSACTIONS, fields_read
+from tidelog.streaming.alerts import SilenceAlerts
 from tidelog.streaming.pipeline import Store, start
-from tidelog.streaming.replay import start_replay
+from tidelog.streaming.replay import Replay, replay_until_settled, start_replay
+from tidelog.streaming.reset import start_from
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -103,6 +109,26 @@ def merge_two_batches(spark, sf):
     return _in_ms(merge.target_rows(merge.resolve(states, ORDERS_FLAT.reads), ORDERS_FLAT))
 
 
+@query
+def merge_interleaved_batches(spark, sf):
+    """Three batches whose records lie between each other, folded one after the other: first writes and deletes of a key meet late."""
+    kept = None
+    for part in range(3):
+        batch = _applied(spark, sf).filter((F.col("offset") % 8 * 5 + F.floor(F.col("offset") / 8)) % 3 == part)
+        states = merge.collapse(batch, ORDERS_FLAT.reads, gaps=True)
+        kept = states if kept is None else merge.fold(kept.unionByName(states), ORDERS_FLAT.reads)
+    return _in_ms(merge.target_rows(merge.resolve(kept, ORDERS_FLAT.reads), ORDERS_FLAT))
+
+
+@query
+def orders_by_source_time(spark, sf):
+    """The order table when the time of the change at its source decides, not its arrival; in two batches that interleave."""
+    applied = _applied(spark, sf)
+    halves = (merge.collapse(applied.filter(F.col("offset") % 2 == n), ORDERS_FLAT.reads, order=merge.SOURCE_TIME) for n in (0, 1))
+    states = merge.fold(next(halves).unionByName(next(halves)), ORDERS_FLAT.reads, order=merge.SOURCE_TIME)
+    return _in_ms(merge.target_rows(merge.resolve(states, ORDERS_FLAT.reads, order=merge.SOURCE_TIME), ORDERS_FLAT))
+
+
 @query
 def stream_orders_flat(spark, sf):
     """The continuous job over files of the log, in several micro-batches, then compacted."""
@@ -251,6 +277,13 @@ def replay_first_50(spark, sf):
     return plan.select("partition", "offset", "action")
 
 
+@query
+def replay_odd_messages(spark, sf):
+    """What becomes of quarantine messages that another producer wrote, undecodable ones among them."""
+    plan = quarantine.plan_replay(X.foreign_quarantine(spark, sf))
+    return plan.select("partition", "offset", "action", "retry_count", F.col("value").cast("string").alias("raw_value"))
+
+
 @query
 def stream_dlq_replay(spark, sf):
     """Quarantine dataset written by the continuous job, replayed as a stream; queued ones only."""
@@ -264,6 +297,34 @@ def stream_dlq_replay(spark, sf):
     return counters.groupBy("action").agg(F.sum("n").alias("n"))
 
 
+@query
+def stream_replay_until_dead(spark, sf):
+    """The closed loop: rejected records are replayed into the job until each is written or dead.
+
+    From the second round on the job no longer requires a customer, as if
+    mended by then, so some of the records go through.
+    """
+    root = shared_folder(spark, "loop")
+    _order_log(spark, sf).write.parquet(f"{root}/log")
+    store = Store(spark, f"{root}/store", buckets=8).create()
+    replay = Replay(spark, f"{root}/replay").create()
+    mended = replace(ORDERS, required=("status",))
+
+    def job(number: int):
+        changes = stream_from_files(spark, f"{root}/log").unionByName(stream_replay_log(spark, replay.log.path))
+        specs = SPECS if number == 0 else (mended, *SPECS[1:])
+        return start(changes, store, f"{root}/checkpoint", specs=specs, every=None)
+
+    replay_until_settled(job, replay, stream_quarantine_files(spark, store.path("dlq")), f"{root}/replay-checkpoint")
+    dead = store.dead_letters().unionByName(replay.dead_letters()).select("raw_key", F.lit("dead").alias("outcome"), "retry_count", "error")
+    tried = F.element_at("headers", 1)["value"].cast("string").cast("int")
+    sent = replay.log.read().groupBy(F.col("key").cast("string").alias("raw_key")).agg(F.max(tried).alias("retry_count"))
+    written = sent.join(dead, "raw_key", "left_anti").select("raw_key", F.lit("written").alias("outcome"), "retry_count", F.lit(None).cast("string").alias("error"))
+    stored = store.tables["orders_flat"].read().select(F.col("order_id"), F.col("status"))
+    found = dead.unionByName(written).withColumn("order_id", F.regexp_extract("raw_key", "[0-9a-f]{24}", 0)).join(stored, "order_id", "left")
+    return found.select("raw_key", "outcome", "retry_count", "error", F.when(F.col("outcome") == "written", F.col("status")).alias("status"))
+
+
 # --- metrics --------------------------------------------------------------
 
 
@@ -278,6 +339,19 @@ def kpi_summary(spark, sf):
     return kpi.kpis(metrics, _newest(metrics))
 
 
+@query
+def kpi_incremental(spark, sf):
+    """The same report from counts per day, kept up to date as three batches of metric rows arrive."""
+    root = shared_folder(spark, "kpi")
+    rows = conform(X.event_metrics(spark, sf), METRICS).withColumn("day", F.to_date("recorded_at"))
+    counts = DailyCounts(spark, f"{root}/counts")
+    stored = spark.read.schema(batch_schema(METRICS).add("day", "date"))
+    for n in range(3):
+        write_batch(rows.filter(F.col("offset") % 3 == n), f"{root}/metrics", Batch("metrics", n), by=("day",))
+        counts.refresh(stored.parquet(f"{root}/metrics"), {"metrics": n})
+    return counts.kpis(stored.parquet(f"{root}/metrics"))
+
+
 @query
 def kpi_empty(spark, sf):
     """The same report over metrics newer than the newest: defaults only."""
@@ -388,6 +462,77 @@ def pipeline_counters(spark, sf):
     return one_row(events, worst, mean)
 
 
+@query
+def stream_lag(spark, sf):
+    """Lag of the running job: it has read the files of the first four records of each order, the others wait."""
+    root = shared_folder(spark, "lag")
+    log = _order_log(spark, sf)
+    log.filter("offset % 8 <= 3").write.parquet(f"{root}/log/first")
+    store = Store(spark, f"{root}/store", buckets=8)
+    start(stream_from_files(spark, f"{root}/log/*"), store, f"{root}/checkpoint", every=None).awaitTermination()
+    log.filter("offset % 8 > 3").write.parquet(f"{root}/log/then")
+    return lag.lag_by_partition(store.lag(read_from_files(spark, f"{root}/log/*")))
+
+
+@query
+def stream_reset(spark, sf):
+    """The job started from the earliest and latest record and from an offset in the middle: where, and what it has read."""
+    root = shared_folder(spark, "reset")
+    _order_log(spark, sf).write.parquet(f"{root}/log")
+    log = read_from_files(spark, f"{root}/log")
+    middle = log.agg(F.expr("(min(offset) + max(offset)) div 2")).first()[0]
+    found = None
+    for name, position in (("earliest", "earliest"), ("middle", middle), ("latest", "latest")):
+        store = Store(spark, f"{root}/{name}", buckets=4)
+        changes = stream_from_files(spark, f"{root}/log", max_files=8)
+        start_from(position, changes, log, store, f"{root}/{name}-checkpoint", every=None).awaitTermination()
+        audit = store.offset_audit()
+        begun = audit.filter(F.col("stream").startswith("reset-")).select("partition", F.col("committed").alias("start"))
+        reached = audit.groupBy("partition").agg(F.max("committed").alias("committed"))
+        read = store.counters().agg(F.coalesce(F.sum("n"), F.lit(0)).alias("consumed")).scalar()
+        rows = begun.join(reached, "partition").select(F.lit(name).alias("position"), "partition", "start", "committed", read.alias("consumed"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+@query
+def stream_deduplicated(spark, sf):
+    """Counters of the job when the log is delivered twice, and a record passes once."""
+    root = shared_folder(spark, "once")
+    _order_log(spark, sf).write.parquet(f"{root}/log/first")
+    _order_log(spark, sf).filter("offset % 3 = 0").write.parquet(f"{root}/log/again")
+    store = Store(spark, f"{root}/store", buckets=4)
+    changes = stream_from_files(spark, f"{root}/log/*", max_files=8)
+    start(changes, store, f"{root}/checkpoint", every=None, once_within="1 hour").awaitTermination()
+    return store.counters().groupBy("disposition").agg(F.sum("n").alias("n"))
+
+
+@query
+def stream_stale_topics(spark, sf):
+    """Topics that fell silent, from alerts raised while the stream was read."""
+    root = shared_folder(spark, "alerts")
+    _order_log(spark, sf).unionByName(X.product_log(spark, sf)).write.parquet(f"{root}/log")
+    alerts = SilenceAlerts(spark, f"{root}/alerts")
+    alerts.start(stream_from_files(spark, f"{root}/log", max_files=8), f"{root}/checkpoint", every=None).awaitTermination()
+    return _in_ms(alerts.open())
+
+
+def _drift(spark, sf, purpose: str) -> DataFrame:
+    return _stored(spark, sf, purpose).drift()
+
+
+@query
+def stream_drift(spark, sf):
+    """Unknown document fields as the job has stored them."""
+    return drift.drift_fields(_drift(spark, sf, "drift")).select("collection", "doc_id", "field", F.col("value").cast("string").alias("value"))
+
+
+@query
+def drift_types(spark, sf):
+    """Events and type of each unknown field in the stored drift."""
+    return drift.drift_types(_drift(spark, sf, "types")).select("collection", "field", "n", "type", "first_ms", "last_ms")
+
+
 # --- verification ---------------------------------------------------------
 
 
@@ -488,6 +633,16 @@ def target_lookup(spark, sf):
     return _in_ms(table.read([f"{k:024x}" for k in (1, 2, 3, 7, 10, 20, 33, 67, 97, 134)]))
 
 
+@query
+def target_rows_of_customers(spark, sf):
+    """Rows of the stored target for the orders of some customers: the keys come from a table."""
+    table = _stored(spark, sf, "customers").tables["orders_flat"]
+    table.compact()
+    wanted = X.table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    orders = X.table(spark, sf, "orders").join(wanted, "o_custkey", "left_semi")
+    return _in_ms(table.read_joined(orders.select(F.expr(X.object_id("o_orderkey")).alias("order_id"))))
+
+
 @query
 def stream_two_collections(spark, sf):
     """Orders and customers through one job: each reaches its own table, under its own key and column names."""

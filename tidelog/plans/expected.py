@@ -166,12 +166,32 @@ def all_expected() -> dict[str, str]:
         # merge
         "orders_flat_final": flat,
         "merge_two_batches": flat,
+        "merge_interleaved_batches": flat,
+        "orders_by_source_time": _LOG
+        + """
+, timed AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts, "offset") AS pos FROM applied
+), marked AS (
+  SELECT *, max(CASE WHEN disposition = 'delete' THEN pos ELSE 0 END) OVER (PARTITION BY k) AS gone_pos,
+         max(pos) OVER (PARTITION BY k) AS last_pos FROM timed
+)
+SELECT oid AS order_id, max(CASE WHEN pos = last_pos THEN customer END) AS customer_id,
+       max(CASE WHEN pos = last_pos THEN status END) AS status, max(CASE WHEN pos = last_pos THEN town END) AS city,
+       max(CASE WHEN pos = last_pos THEN amount END) AS total, min(ts) FILTER (WHERE pos > gone_pos) AS created_at_ms,
+       max(ts) AS updated_at_ms
+FROM marked GROUP BY k, oid HAVING max(last_pos) <> max(gone_pos)
+""",
         "stream_orders_flat": flat,
         "transactions_final": _LOG
         + "SELECT order_id, 'txn-' || order_id AS txn_id, total AS amount, status, updated_ms AS recorded_at_ms FROM final",
         "line_items_final": _ITEMS + "SELECT * FROM line_items",
         "target_lookup": flat
         + "WHERE order_id IN (SELECT lpad(lower(to_hex(n)), 24, '0') FROM (VALUES (1), (2), (3), (7), (10), (20), (33), (67), (97), (134)) AS v(n))",
+        "target_rows_of_customers": flat
+        + """
+WHERE order_id IN (
+  SELECT lpad(lower(to_hex(o_orderkey)), 24, '0') FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING')
+""",
         "stream_transactions": _LOG
         + "SELECT order_id, 'txn-' || order_id AS txn_id, total AS amount, status, updated_ms AS recorded_at_ms FROM final",
         "stream_two_collections": _LOG
@@ -254,14 +274,29 @@ FROM ev WHERE disposition = 'dlq' GROUP BY 1
         + """
 SELECT part AS "partition", "offset", CASE WHEN retries + 1 > 3 THEN 'dead' ELSE 'replayed' END AS action
 FROM ev WHERE disposition = 'dlq' ORDER BY part, "offset" LIMIT 50
+""",
+        "replay_odd_messages": """
+SELECT CAST(c_custkey % 3 AS INTEGER) AS "partition", c_custkey AS "offset",
+       CASE WHEN n = 5 THEN 'dead' WHEN n = 6 THEN 'replayed' ELSE 'skipped' END AS action,
+       CAST(CASE WHEN n = 5 THEN 4 WHEN n <> 4 THEN 1 END AS INTEGER) AS retry_count,
+       CASE WHEN n > 1 THEN 'v' || c_custkey ELSE '' END AS raw_value
+FROM (SELECT *, c_custkey % 7 AS n FROM customer)
 """,
         "stream_dlq_replay": _LOG
         + """
 SELECT 'replayed' AS action, CAST(count(*) AS BIGINT) AS n FROM ev WHERE disposition = 'dlq' AND retries < 3
+""",
+        "stream_replay_until_dead": _LOG
+        + """
+SELECT record_key AS raw_key, CASE WHEN mended THEN 'written' ELSE 'dead' END AS outcome,
+       CAST(CASE WHEN mended THEN retries + 1 ELSE greatest(retries, 3) END AS INTEGER) AS retry_count,
+       CASE WHEN NOT mended THEN error END AS error, CASE WHEN mended THEN 'SHIPPED' END AS status
+FROM (SELECT *, odd = 89 AND retries < 3 AS mended FROM ev WHERE disposition = 'dlq')
 """,
         # metrics
         "stage_latencies": _METRICS + f"SELECT {_METRIC_COLUMNS} FROM metrics",
         "kpi_summary": _METRICS + _KPIS + "FROM metrics, (SELECT max(recorded_at) AS as_of FROM metrics)",
+        "kpi_incremental": _METRICS + _KPIS + "FROM metrics, (SELECT max(recorded_at) AS as_of FROM metrics)",
         "kpi_empty": _METRICS
         + _KPIS
         + "FROM metrics, (SELECT max(recorded_at) AS as_of FROM metrics) WHERE recorded_at > as_of",
@@ -365,6 +400,44 @@ SELECT (SELECT count(*) FROM delivered) AS consumed,
        (SELECT count(*) FROM delivered WHERE disposition IN ('upsert', 'delete')) AS written,
        (SELECT count(*) FROM ev WHERE disposition = 'dlq') AS rejected,
        (SELECT max(lag) FROM lags) AS max_lag, (SELECT round(avg(e2e_lat_ms)) FROM metrics) AS avg_e2e_ms
+""",
+        "stream_lag": _LOG
+        + """
+SELECT 'poc.mydb.orders' AS topic, part AS "partition", max("offset") FILTER (WHERE slot <= 3) + 1 AS committed, max("offset") + 1 AS high,
+       max("offset") - max("offset") FILTER (WHERE slot <= 3) AS lag
+FROM ev GROUP BY part
+""",
+        "stream_reset": _LOG
+        + """
+, ends AS (SELECT part, min("offset") AS low, max("offset") + 1 AS high FROM ev GROUP BY part),
+  middle AS (SELECT (min("offset") + max("offset")) // 2 AS m FROM ev),
+  starts AS (
+  SELECT 'earliest' AS position, part, low AS start, high FROM ends
+  UNION ALL SELECT 'middle', part, m, high FROM ends, middle
+  UNION ALL SELECT 'latest', part, high, high FROM ends
+), reads AS (
+  SELECT position, count("offset") AS consumed FROM starts LEFT JOIN delivered ON delivered.part = starts.part AND "offset" >= start GROUP BY 1
+)
+SELECT position, part AS "partition", start, greatest(start, high) AS committed, consumed FROM starts JOIN reads USING (position)
+""",
+        "stream_deduplicated": _LOG + "SELECT disposition, count(*) AS n FROM ev GROUP BY 1",
+        "stream_stale_topics": _LOG
+        + """
+, seen AS (
+  SELECT 'poc.mydb.orders' AS topic, max(kafka_ms) AS last_at_ms FROM ev
+  UNION ALL SELECT 'poc.mydb.products', max(1704067200000 + p_partkey * 1000) FROM part
+)
+SELECT topic, last_at_ms FROM seen WHERE last_at_ms < (SELECT max(last_at_ms) FROM seen) - 300000
+""",
+        "stream_drift": _LOG
+        + """
+SELECT 'orders' AS collection, oid AS doc_id, f AS field, CASE f WHEN 'loyalty' THEN '7' ELSE 'web' END AS value
+FROM ev CROSS JOIN (VALUES ('loyalty'), ('source_app')) AS names(f) WHERE slot = 6 AND odd = 67
+""",
+        "drift_types": _LOG
+        + """
+SELECT 'orders' AS collection, f AS field, count(*) AS n, t AS type, min(ts) AS first_ms, max(ts) AS last_ms
+FROM ev CROSS JOIN (VALUES ('loyalty', 'BIGINT'), ('source_app', 'STRING')) AS names(f, t) WHERE slot = 6 AND odd = 67 GROUP BY f, t
 """,
         # verification
         "count_parity": _LOG

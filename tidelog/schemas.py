@@ -8,16 +8,18 @@ from pyspark.sql.types import (
     BinaryType,
     BooleanType,
     DataType,
+    DateType,
     DoubleType,
     IntegerType,
     LongType,
     StringType,
     StructType,
     TimestampType,
+    VariantType,
 )
 
 STRING, INT, BIGINT, DOUBLE, BOOLEAN = StringType(), IntegerType(), LongType(), DoubleType(), BooleanType()
-BINARY, TIMESTAMP = BinaryType(), TimestampType()
+BINARY, TIMESTAMP, DATE = BinaryType(), TimestampType(), DateType()
 
 
 def struct(**columns: DataType) -> StructType:
@@ -75,8 +77,17 @@ OFFSETS = struct(topic=STRING, partition=INT, committed=BIGINT, low=BIGINT, high
 
 OFFSET_AUDIT = struct(ts=STRING, group_id=STRING, topic=STRING, partition=INT, committed=BIGINT)
 
+# What the audit of a stored batch adds: its first offset, and whether it holds every offset up to the last.
+BATCH_AUDIT = StructType(list(OFFSET_AUDIT.fields)).add("low", BIGINT).add("unbroken", BOOLEAN)
+
 COUNTERS = struct(disposition=STRING, n=BIGINT)
 
+# Fields of accepted documents that their collection does not know, as one object.
+DRIFT = struct(collection=STRING, doc_id=STRING, topic=STRING, partition=INT, offset=BIGINT, event_ms=BIGINT, extra=VariantType())
+
+# Where the next message of a replay log's partition goes.
+NEXT_POSITIONS = struct(topic=STRING, partition=INT, next=BIGINT)
+
 # A merge state (operators.merge) without its key and payload.
 STATE = struct(
     topic=STRING,
@@ -84,6 +95,7 @@ STATE = struct(
     last_offset=BIGINT,
     last_kafka_ms=BIGINT,
     deleted_offset=BIGINT,
+    deleted_ms=BIGINT,
     first_offset=BIGINT,
     first_ms=BIGINT,
     is_delete=BOOLEAN,

@@ -8,9 +8,10 @@ that one, so a batch repeated after a failure replaces its earlier attempt.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidelog.schemas import BIGINT, STRING
@@ -50,3 +51,11 @@ def create_dataset(spark: SparkSession, path: str, schema: StructType, fmt: str
 
 def read_batches(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).schema(batch_schema(schema)).load(path)
+
+
+def up_to(reached: Mapping[str, int]) -> Column:
+    """Whether a row's batch is at or before the position of its stream."""
+    test = F.lit(False)
+    for stream, batch in reached.items():
+        test = test | ((F.col("stream") == stream) & (F.col("batch") <= batch))
+    return test

@@ -21,7 +21,7 @@ from pyspark.sql.types import DataType, StructField, StructType
 
 from tidelog.operators import merge
 from tidelog.schemas import BIGINT, COMMIT, STATE, STRING
-from tidelog.sinks.batches import Batch, batch_schema, create_dataset, read_batches, write_batch
+from tidelog.sinks.batches import Batch, batch_schema, create_dataset, read_batches, up_to, write_batch
 from tidelog.spec import Target
 
 
@@ -33,7 +33,16 @@ class TargetTable:
     within it the row groups whose key range fits.
     """
 
-    def __init__(self, spark: SparkSession, path: str, target: Target, column_types: dict[str, DataType], buckets: int = 64):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        target: Target,
+        column_types: dict[str, DataType],
+        buckets: int = 64,
+        order_by: str = merge.ARRIVAL,
+    ):
+        self.order_by = order_by
         self.spark = spark
         self.target = target
         self.path = path.rstrip("/")
@@ -56,14 +65,28 @@ class TargetTable:
     def read(self, keys: Sequence[str] | None = None) -> DataFrame:
         """Current rows; with ``keys`` only those, from their buckets and the batches since."""
         states = self._current_states(keys)
-        return merge.stored_rows(merge.resolve(states, self.payload, self.target.key), self.target)
+        return merge.stored_rows(merge.resolve(states, self.payload, self.target.key, order=self.order_by), self.target)
 
-    def compact(self, forget_deleted_before_ms: int | None = None) -> None:
+    def read_joined(self, keys: DataFrame) -> DataFrame:
+        """Current rows of the keys in a column of a table named like the target's key; no key is collected.
+
+        Only their states are resolved. A small set of keys also prunes the
+        compacted version: buckets without any of them are not read.
+        """
+        version, folded, buckets = self._committed()
+        wanted = keys.select(F.col(self.target.key)).distinct()
+        name = self.target.key
+        base = self._base_rows(version)
+        held = base.join(wanted.withColumn("bucket", _bucket(F.col(name), buckets)), ["bucket", name], "left_semi").select(*self.states.names)
+        since = self._changes(folded).select(*self.states.names).join(wanted, name, "left_semi")
+        return merge.stored_rows(merge.resolve(held.unionByName(since), self.payload, name, order=self.order_by), self.target)
+
+    def compact(self, forget_deleted_before_ms: int | None = None, complete: DataFrame | None = None) -> None:
         """Fold all states stored so far into a new version.
 
         Deleted keys keep a marker row, so late re-deliveries cannot bring them
         back. ``forget_deleted_before_ms`` drops markers of keys whose last
-        record is older than that.
+        record is older than that. ``complete`` is that of ``merge.fold``.
         """
         version, folded, buckets = self._committed()
         # Positions first: batches arriving from here on stay in the change set.
@@ -71,8 +94,8 @@ class TargetTable:
         reached = folded | {row["stream"]: row["batch"] for row in reached}
         if reached == folded:
             return
-        pending = self._changes(folded).filter(_up_to(reached)).select(*self.states.names)
-        states = merge.fold(self._base(version, buckets).unionByName(pending), self.payload, self.target.key)
+        pending = self._changes(folded).filter(up_to(reached)).select(*self.states.names)
+        states = merge.fold(self._base(version, buckets).unionByName(pending), self.payload, self.target.key, complete, self.order_by)
         if forget_deleted_before_ms is not None:
             states = _forget_deleted(states, self.target.key, forget_deleted_before_ms)
         bucketed = states.withColumn("version", F.lit(version + 1).cast("bigint")).withColumn(
@@ -97,7 +120,7 @@ class TargetTable:
         """
         version, folded, _ = self._committed()
         old = [f"{self.path}/base/version={v}" for v in range(1, version)]
-        spent = self._all_changes().filter(_up_to(folded)).select("stream", "batch").distinct().collect()
+        spent = self._all_changes().filter(up_to(folded)).select("stream", "batch").distinct().collect()
         old += [f"{self.path}/changes/stream={r['stream']}/batch={r['batch']}" for r in spent]
         jvm = self.spark._jvm
         for folder in old:
@@ -126,11 +149,13 @@ class TargetTable:
 
     def _changes(self, folded: dict[str, int]) -> DataFrame:
         """Batches after the folded ones; a filter on the partition columns, so only their files are read."""
-        return self._all_changes().filter(~_up_to(folded))
+        return self._all_changes().filter(~up_to(folded))
+
+    def _base_rows(self, version: int) -> DataFrame:
+        return self.spark.read.schema(self._base_schema()).parquet(f"{self.path}/base").filter(F.col("version") == version)
 
     def _base(self, version: int, buckets: int, keys: Sequence[str] | None = None) -> DataFrame:
-        base = self.spark.read.schema(self._base_schema()).parquet(f"{self.path}/base")
-        base = base.filter(F.col("version") == version)
+        base = self._base_rows(version)
         if keys is not None:
             base = base.filter(F.col("bucket").isin([_bucket(F.lit(k), buckets) for k in keys]))
         return base.select(*self.states.names)
@@ -146,14 +171,6 @@ def _bucket(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets).cast("bigint"))
 
 
-def _up_to(reached: dict[str, int]) -> Column:
-    """Batches at or before the position of their stream."""
-    test = F.lit(False)
-    for stream, batch in reached.items():
-        test = test | ((F.col("stream") == stream) & (F.col("batch") <= batch))
-    return test
-
-
 def _forget_deleted(states: DataFrame, key: str, before_ms: int) -> DataFrame:
     """Drop all states of keys that are deleted and had no record since ``before_ms``."""
     newest = states.groupBy(key).agg(

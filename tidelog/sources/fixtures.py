@@ -254,7 +254,7 @@ def offset_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Committed, low and high offsets: orders lag by 25 per partition number,
     products are caught up, customers have no commit at all."""
     orders = (
-        order_log(spark, sf_dir)
+        order_log(spark, sf_dir, partitions=spark.sparkContext.defaultParallelism)
         .groupBy("topic", "partition")
         .agg(F.min("offset").alias("low"), (F.max("offset") + 1).alias("high"))
         .withColumn("committed", F.col("high") - F.col("partition") * 25)
@@ -354,6 +354,23 @@ def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def foreign_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarantine messages of another producer, one per customer, most of them odd.
+
+    By key modulo 7: no JSON, no object, no source topic, an empty one, a
+    retry count that is no number, one that is used up, and a good message
+    without any.
+    """
+    topic = ("source_topic", _text(_constant(CUSTOMERS_TOPIC)))
+    raw = ("raw_value", _text("concat('v', c_custkey)"))
+    values = [
+        "concat('oops ', c_custkey)", "'[1]'", _object(raw), _object(("source_topic", _text("''")), raw),
+        _object(topic, ("retry_count", _text("'x'")), raw), _object(topic, ("retry_count", "'3'"), raw), _object(topic, raw),
+    ]
+    value = "CASE c_custkey % 7 " + " ".join(f"WHEN {n} THEN {v}" for n, v in enumerate(values)) + " END"
+    return table(spark, sf_dir, "customer").selectExpr("cast(c_custkey % 3 AS INT) AS partition", "c_custkey AS offset", f"cast({value} AS BINARY) AS value")
+
+
 def live_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents left in the source collection after the whole log, with their status."""
     k = F.col("o_orderkey")
