@@ -38,6 +38,17 @@ def test_candidates_are_those_of_a_plain_search(spark):
     assert rows(secrets_scan.candidates(documents(spark, every)), "doc_id", "start", "candidate") == sorted(want, key=repr)
 
 
+def test_many_candidates_in_one_text(spark):
+    """Time and memory follow the candidates: rows hold their own surroundings, not those of the whole text."""
+    n = 200_000
+    text = " ".join(f"{i:016d}" for i in range(n))
+    found = secrets_scan.candidates(documents(spark, [(1, text), (2, "x"), (None, text[:4000])]))
+    long = found.filter("doc_id = 1")
+    assert found.filter("doc_id IS NULL").count() == 235  # the last one is cut short
+    got = long.agg(F.count("*"), F.sum("start"), F.max("start"), F.sum(F.length("before")), F.count_if(F.col("start") != 17 * F.col("candidate").cast("long"))).first()
+    assert tuple(got) == (n, 17 * n * (n - 1) // 2, 17 * (n - 1), n - 1, 0)
+
+
 def test_given_labels_decide(spark):
     real, numbers, _ = texts()
     docs = documents(spark, real + numbers)
@@ -55,7 +66,7 @@ def test_rare_secrets_are_learned_from(spark):
 
 def test_copies_do_not_fill_the_sample(spark):
     real, numbers, _ = texts()
-    features = secrets_scan.weak_labels(secrets_scan.features(secrets_scan.candidates(documents(spark, real + numbers)))).localCheckpoint()
+    features = secrets_scan.weak_labels(secrets_scan.features(secrets_scan.candidates(documents(spark, real + numbers)))).persist()
     one = features.filter("label = 0").orderBy(F.xxhash64("label", *secrets_scan.FEATURES)).limit(1)
     copied = features.unionByName(one.crossJoin(spark.range(500)).drop("id"))
     judged = secrets_scan.judge(features, copied, labelled_rows=200)

@@ -23,7 +23,7 @@ from string import ascii_lowercase, ascii_uppercase, digits
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.scratch import keep
@@ -45,16 +45,23 @@ def _share(text: Column, others: str) -> Column:
 def candidates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """key, path (the source), start, candidate, before, after: each candidate with up to 80 and 40 characters beside it."""
     found = docs.filter(F.col(text).rlike(CANDIDATE)).select(
-        F.col(key), F.col(source).cast("string").alias("path"),
+        F.col(key), F.col(source).cast("string").alias("path"), F.monotonically_increasing_id().alias("row"),
         F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("runs"), F.split(text, CANDIDATE, -1).alias("between"),
     )
-    each = found.select(key, "path", "runs", "between", F.posexplode("runs").alias("i", "candidate"))
-    lengths = F.aggregate(F.slice("between", F.lit(1), F.col("i") + 1), F.lit(0), lambda n, t: n + F.length(t))
-    runs = F.aggregate(F.slice("runs", F.lit(1), F.col("i")), F.lit(0), lambda n, t: n + F.length(t))
-    return each.select(
-        key, "path", (lengths + runs).alias("start"), "candidate",
-        F.right(F.col("between")[F.col("i")], F.lit(80)).alias("before"), F.left(F.col("between")[F.col("i") + 1], F.lit(40)).alias("after"),
+    # Each candidate with the pieces of text on both sides, cut before the rows are made: a row holds nothing of the others.
+    n = F.size("runs")
+    beside = F.arrays_zip(F.col("runs").alias("run"), F.slice("between", F.lit(1), n).alias("left"), F.slice("between", F.lit(2), n).alias("right"))
+    cut = F.transform(
+        beside,
+        lambda piece, i: F.struct(
+            i.alias("i"), piece["run"].alias("candidate"), F.length(piece["left"]).alias("gap"),
+            F.right(piece["left"], F.lit(80)).alias("before"), F.left(piece["right"], F.lit(40)).alias("after"),
+        ),
     )
+    each = found.select(key, "path", "row", F.explode(cut).alias("piece")).select(key, "path", "row", "piece.*")
+    behind = Window.partitionBy("row").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.sum(F.col("gap") + F.length("candidate")).over(behind)
+    return each.select(key, "path", (end - F.length("candidate")).cast("int").alias("start"), "candidate", "before", "after")
 
 
 def features(found: DataFrame) -> DataFrame:
