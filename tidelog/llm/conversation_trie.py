@@ -221,45 +221,55 @@ def _up(placed: DataFrame) -> DataFrame:
     return now.select("conv_id", *SUMS)
 
 
+def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    """Numbers in all columns but the last, which holds text."""
+    columns = list(zip(*rows))
+    kinds = [pa.int64()] * (len(names) - 1) + [pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+
 def list_hashes(members: DataFrame, keys: list[str], member: str) -> DataFrame:
     """keys, ends_sha256: SHA-256 of the decimal numbers `member` of each key, rising and joined by commas."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key: tuple = ()
+        key: list = []
         ids: list[int] = []
+        done: list[tuple] = []
 
-        def piece() -> pa.RecordBatch:
-            columns = [*(pa.array([k], pa.int64()) for k in key), pa.array([ids[0]], pa.int64()), pa.array([",".join(map(str, ids))])]
-            return pa.RecordBatch.from_arrays(columns, [*keys, "least", "piece"])
+        def close() -> None:
+            done.append((*key, ids[0], ",".join(map(str, ids))))
 
         for batch in batches:
             for *own, one in zip(*(c.to_pylist() for c in batch.columns)):
-                if ids and (tuple(own) != key or len(ids) == PIECE):
-                    yield piece()
+                if ids and (own != key or len(ids) == PIECE):
+                    close()
                     ids = []
-                key = tuple(own)
+                    if len(done) == PIECE:
+                        yield _rows(done, [*keys, "least", "piece"])
+                        done = []
+                key = own
                 ids.append(one)
         if ids:
-            yield piece()
+            close()
+            yield _rows(done, [*keys, "least", "piece"])
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key: tuple = ()
+        key: list = []
         digest = None
-
-        def row() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([*(pa.array([k], pa.int64()) for k in key), pa.array([digest.hexdigest()])], [*keys, "ends_sha256"])
-
         for batch in batches:
+            done: list[tuple] = []
             for *own, _, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if digest is not None and tuple(own) == key:
+                if digest is not None and own == key:
                     digest.update(b",")
                 else:
                     if digest is not None:
-                        yield row()
-                    key, digest = tuple(own), hashlib.sha256()
+                        done.append((*key, digest.hexdigest()))
+                    key, digest = own, hashlib.sha256()
                 digest.update(text.encode())
+            if done:
+                yield _rows(done, [*keys, "ends_sha256"])
         if digest is not None:
-            yield row()
+            yield _rows([(*key, digest.hexdigest())], [*keys, "ends_sha256"])
 
     kinds = ", ".join(f"{k} long" for k in keys)
     ship(members.sparkSession)
