@@ -23,7 +23,7 @@ from tidelog.sources.changes import (
 from tidelog.spec import ORDERS_FLAT
 from tidelog.streaming.alerts import CLEARED, RAISED, SilenceAlerts, with_heartbeat
 from tidelog.streaming.pipeline import Store, process_batch, start
-from tidelog.streaming.replay import Replay, replay_until_settled, start_replay
+from tidelog.streaming.replay import Replay, replay_until_settled
 from tidelog.streaming.reset import reset_offsets, start_from
 
 
@@ -172,6 +172,26 @@ def test_compaction_needs_one_first_write_where_nothing_is_missing(spark, store)
     assert table.read().select(F.unix_millis("created_at")).first()[0] == TS
 
 
+def test_untouched_keys_are_not_shuffled(spark, store, tmp_path):
+    """After a compaction only what a later batch has touched is resolved; the rows are those of a whole replay."""
+    n = 3000
+    rows = [record(envelope("d" if i % 7 == 6 else "u", dict(PLAIN, _id=f"k{i % 900}"), ts_ms=TS + i), offset=i) for i in range(n)]
+    process_batch(frame(spark, rows), store, Batch("s", 0))
+    store.compact()
+    late = [record(envelope("u", dict(PLAIN, _id="k3", city="new"), ts_ms=TS + n), offset=n), record(envelope("d", dict(PLAIN, _id="k5")), offset=n + 1)]
+    process_batch(frame(spark, late), store, Batch("s", 1))
+    table = store.tables["orders_flat"]
+    every = frame(spark, rows + late)
+    want = rows_of(merge.replay(project.document_fields(C.classify(parse_changes(every))), ORDERS_FLAT)[0])
+    found = table.read()
+    assert rows_of(found) == want
+    assert rows_of(table.read(["k3", "k4", "k5"])) == [r for r in want if r[3] in ("k3", "k4", "k5")]
+    assert rows_of(table.read_joined(spark.createDataFrame([("k3",), ("k5",), ("k8",), ("none",)], "order_id string"))) == [r for r in want if r[3] in ("k3", "k5", "k8")]
+    table.read().write.parquet(str(tmp_path / "rows"))
+    branches = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftAnti" in branches and branches.index("Union") < branches.index("Join LeftAnti") < branches.index("RepartitionByExpression")
+
+
 def test_batch_summary(spark):
     at = lambda p, o: record(None, topic="t", partition=p, offset=o)
     held = [at(0, o) for o in (*range(32_760, 32_780), 32_770)] + [at(1, o) for o in (5, 7)] + [at(2, -1), at(2, 0), at(2, 1)]

@@ -2,8 +2,8 @@
 
 A micro-batch appends its collapsed states (operators.merge) and never rewrites
 stored rows, so its cost follows the batch and not the table. A read resolves
-the compacted states together with those appended since. ``compact`` folds them
-into a new version every so often.
+the keys touched since the last compaction and passes the others on. ``compact``
+folds the states into a new version every so often.
 
 States combine without regard to order or overlap, so a repeated batch, a
 replayed log or a compaction that ran twice all leave the same rows. A version
@@ -16,11 +16,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 from tidelog.operators import merge
-from tidelog.schemas import BIGINT, COMMIT, STATE, STRING
+from tidelog.schemas import BIGINT, BOOLEAN, COMMIT, STATE, STRING
 from tidelog.sinks.batches import Batch, batch_schema, create_dataset, read_batches, up_to, write_batch
 from tidelog.spec import Target
 
@@ -64,8 +64,13 @@ class TargetTable:
 
     def read(self, keys: Sequence[str] | None = None) -> DataFrame:
         """Current rows; with ``keys`` only those, from their buckets and the batches since."""
-        states = self._current_states(keys)
-        return merge.stored_rows(merge.resolve(states, self.payload, self.target.key, order=self.order_by), self.target)
+        version, folded, buckets = self._committed()
+        name = self.target.key
+        base, since = self._base(version, buckets, keys), self._changes(folded).select(*self.states.names)
+        if keys is not None:
+            wanted = F.col(name).isin(list(keys))
+            base, since = base.filter(wanted), since.filter(wanted)
+        return self._rows(base, since)
 
     def read_joined(self, keys: DataFrame) -> DataFrame:
         """Current rows of the keys in a column of a table named like the target's key; no key is collected.
@@ -74,12 +79,27 @@ class TargetTable:
         compacted version: buckets without any of them are not read.
         """
         version, folded, buckets = self._committed()
-        wanted = keys.select(F.col(self.target.key)).distinct()
         name = self.target.key
-        base = self._base_rows(version)
-        held = base.join(wanted.withColumn("bucket", _bucket(F.col(name), buckets)), ["bucket", name], "left_semi").select(*self.states.names)
+        wanted = keys.select(F.col(name)).distinct()
+        base = self._base_rows(version).join(wanted.withColumn("bucket", _bucket(F.col(name), buckets)), ["bucket", name], "left_semi")
         since = self._changes(folded).select(*self.states.names).join(wanted, name, "left_semi")
-        return merge.stored_rows(merge.resolve(held.unionByName(since), self.payload, name, order=self.order_by), self.target)
+        return self._rows(base.select(*self.states.names, "settled"), since)
+
+    def _rows(self, base: DataFrame, since: DataFrame) -> DataFrame:
+        """Rows from compacted states and those since.
+
+        A settled key that no later batch has touched is its row already. Only
+        the others are resolved: with few changes since the compaction, Spark
+        broadcasts their keys and does not shuffle the version.
+        """
+        name = self.target.key
+        touched = since.select(name).distinct()
+        settled = base.filter("settled")
+        same = settled.join(touched, name, "left_anti").filter(~F.col("is_delete"))
+        same = same.select(name, F.coalesce("first_ms", "event_ms").alias("first_ms"), "event_ms", *self.payload)
+        others = base.filter(~F.col("settled")).unionByName(settled.join(touched, name, "left_semi")).drop("settled").unionByName(since)
+        resolved = merge.resolve(others, self.payload, name, order=self.order_by).select(*same.columns)
+        return merge.stored_rows(same.unionByName(resolved), self.target)
 
     def compact(self, forget_deleted_before_ms: int | None = None, complete: DataFrame | None = None) -> None:
         """Fold all states stored so far into a new version.
@@ -95,11 +115,17 @@ class TargetTable:
         if reached == folded:
             return
         pending = self._changes(folded).filter(up_to(reached)).select(*self.states.names)
-        states = merge.fold(self._base(version, buckets).unionByName(pending), self.payload, self.target.key, complete, self.order_by)
+        states = merge.fold(self._base(version, buckets).drop("settled").unionByName(pending), self.payload, self.target.key, complete, self.order_by)
         if forget_deleted_before_ms is not None:
             states = _forget_deleted(states, self.target.key, forget_deleted_before_ms)
-        bucketed = states.withColumn("version", F.lit(version + 1).cast("bigint")).withColumn(
-            "bucket", _bucket(F.col(self.target.key), self.buckets)
+        # One state is all there is of a settled key.
+        alone = F.count("*").over(Window.partitionBy(self.target.key)) == 1
+        bucketed = states.withColumns(
+            {
+                "settled": alone,
+                "version": F.lit(version + 1).cast("bigint"),
+                "bucket": _bucket(F.col(self.target.key), self.buckets),
+            }
         )
         # Rebalancing splits large and joins small buckets by their real size.
         (
@@ -128,7 +154,7 @@ class TargetTable:
             place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
 
     def _base_schema(self) -> StructType:
-        return StructType(list(self.states.fields)).add("version", BIGINT).add("bucket", BIGINT)
+        return StructType(list(self.states.fields)).add("settled", BOOLEAN).add("version", BIGINT).add("bucket", BIGINT)
 
     def _committed(self) -> tuple[int, dict[str, int], int]:
         """Current version, the last batch of each stream in it, and its buckets.
@@ -158,13 +184,7 @@ class TargetTable:
         base = self._base_rows(version)
         if keys is not None:
             base = base.filter(F.col("bucket").isin([_bucket(F.lit(k), buckets) for k in keys]))
-        return base.select(*self.states.names)
-
-    def _current_states(self, keys: Sequence[str] | None) -> DataFrame:
-        version, folded, buckets = self._committed()
-        base = self._base(version, buckets, keys)
-        states = base.unionByName(self._changes(folded).select(*self.states.names))
-        return states.filter(F.col(self.target.key).isin(list(keys))) if keys is not None else states
+        return base.select(*self.states.names, "settled")
 
 
 def _bucket(key: Column, buckets: int) -> Column:
