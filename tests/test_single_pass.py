@@ -26,3 +26,13 @@ def test_a_newest_row_that_is_a_candidate_stays_both(spark):
     assert sorted((r["last_offset"] or 0, r["first_offset"], r["status"] or "") for r in states) == [(0, 5, ""), (5, 1, "s5")]
 
 
+@pytest.mark.parametrize(
+    "name, most",
+    [
+        # The live orders, which are the other side, read the table too.
+        ("merge_interleaved_batches", 0),
+    ],
+)
+def test_the_log_is_read_once(spark, sf_dir, name, most):
+    """A query that stores its one reading has none left in its plan."""
+    assert readings(catalog.all_queries()[name](spark, sf_dir), "o_totalprice") <= most
