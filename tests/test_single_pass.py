@@ -31,6 +31,7 @@ def test_a_newest_row_that_is_a_candidate_stays_both(spark):
     [
         # The live orders, which are the other side, read the table too.
         ("merge_interleaved_batches", 0),
+        ("key_parity", 2),
         ("duplicate_keys", 1),
         ("insert_visible", 0),
         ("orders_by_source_time", 1),
