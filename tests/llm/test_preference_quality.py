@@ -114,3 +114,25 @@ def test_features_by_hand():
     }
     for name, value in want.items():
         assert got[name] == pytest.approx(value, abs=1e-6), name
+
+
+def test_all_labelled_rows_are_learned_from(spark):
+    """Beyond 20,000 of a label, where the fit once took a sample."""
+    n = 50_000
+    one = ((F.col("id") * 37 % 1001) / 1001 + F.when(F.col("id") % 10 > 0, 0.3).otherwise(0)).cast("float")
+    found = spark.range(n).select(F.col("id").alias("key"), *((one if i == 0 else F.lit(0.5).cast("float")).alias(c) for i, c in enumerate(quality.FEATURES)))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), (F.col("id") % 10 > 0).cast("int").alias("quality"))
+    model = quality.fit(found, labels)
+    values = np.array(found.select(quality.FEATURES[0]).collect(), float)[:, 0]
+    assert model.centre[0] == pytest.approx(values.mean(), abs=1e-8) and model.scale[0] == pytest.approx(values.std(), abs=1e-8)
+    assert model.weights[0] > 0 and model == quality.fit(found, labels)
+
+
+def test_every_labelled_document_is_paired(spark):
+    rows = spark.range(107).select(F.col("id").alias("key"), (F.col("id") < 100).cast("int").alias("label"), *(F.lit(0.0).alias(c) for c in quality.FEATURES))
+    for label in (1, 0):
+        own = F.array(F.when(F.col("label") == label, F.col("key") + 1).otherwise(0).cast("double"))
+        got = [abs(r[0][0]) for r in quality.pair(rows, {0: 7, 1: 100}, own, 3, 1).collect()]
+        times = {n: got.count(n) for n in set(got)}
+        assert len(got) == 300 and len(times) == (100 if label else 7)
+        assert set(times.values()) <= ({3} if label else {42, 43, 44})

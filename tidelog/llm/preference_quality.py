@@ -6,9 +6,11 @@ fix no origin of s, so a quantile of the labelled documents' scores serves: the
 score of a document is the probability that it beats a document at that quantile, with the odds shifted such that the
 quantile itself gets `at`.
 
-Features are counted over whole texts in one pass, in Arrow batches. The fit sees at most `sample` documents of each label,
-those with the least hashes of their features and ids, and at most `sample * pairs` pairs; both are parameters. Features
-of all documents are written once; labels are joined to them by a shuffle, scores are plain column arithmetic.
+Features are counted over whole texts in one pass, in Arrow batches, and written once; labels are joined to them by a shuffle,
+scores are plain column arithmetic. The fit sees all labelled documents: those of the commoner label are each paired with
+`pairs` documents of the other, which all take part equally often. Each step of Newton's method is a pass over the pairs that
+leaves one row of sums a task. The origin is sought among the borders of at most BINS equal bins of all their scores. `sample`
+bounds the fit for a quick trial: it then sees at most so many documents of each label, those with the least hashes.
 
 Defined results: a null or empty text has all counts 0 and gets a score like any other; null labels are left out; a
 document with contrary labels counts for both; rows with equal or null ids are scored one by one, null ids match no
@@ -17,12 +19,12 @@ label; without a pair of contrary labels all scores are 0.5; an empty table give
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.buffers import U64, WHITE, blocks, in_row, mix, runs, spans, sums, windows, words
@@ -46,6 +48,8 @@ _LETTER[[*KINDS["lower"], *KINDS["upper"], *range(0x80, 0x100)]] = True
 _CAPITAL = np.zeros(256, bool)
 _CAPITAL[[*KINDS["upper"]]] = True
 _CLIP = 8.0
+#: Labelled rows that are numbered in one task, and bins of their scores.
+BLOCK, BINS = 50_000, 65_536
 
 
 def _distinct(hashes: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,30 +142,93 @@ class Model:
 UNKNOWN = Model((0.0,) * len(FEATURES), (1.0,) * len(FEATURES), (0.0,) * len(FEATURES), 0.0, 0.5)
 
 
-def learn(differences: np.ndarray, ridge: float, steps: int = 50) -> np.ndarray:
-    """Weights of least mean logistic loss on the differences winner - loser, by Newton's method with halved steps."""
-    w = np.zeros(differences.shape[1])
+def _terms(differences: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Number of pairs, and sums of their losses, slopes and curvatures at `w`, as one flat array."""
+    won = differences @ w
+    miss = 1 / (1 + np.exp(np.clip(won, -30, 30)))
+    bend = (differences * (miss * (1 - miss))[:, None]).T @ differences
+    return np.concatenate([[len(won), np.logaddexp(0, -won).sum()], differences.T @ miss, bend.ravel()])
+
 
-    def loss(w: np.ndarray) -> float:
-        return np.logaddexp(0, -differences @ w).mean() + ridge / 2 * w @ w
+def _newton(terms: Callable[[np.ndarray], np.ndarray], width: int, ridge: float, steps: int) -> np.ndarray:
+    """Weights of least mean loss plus ridge by Newton's method with halved steps; `terms` is a pass over the pairs."""
 
-    now = loss(w)
+    def at(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        sums = terms(w)
+        sums = sums[1:] / sums[0]
+        slope, bend = ridge * w - sums[1 : width + 1], sums[width + 1 :].reshape(width, width) + ridge * np.eye(width)
+        return sums[0] + ridge / 2 * w @ w, slope, bend
+
+    w = np.zeros(width)
+    now, slope, bend = at(w)
     for _ in range(steps):
-        miss = 1 / (1 + np.exp(np.clip(differences @ w, -30, 30)))
-        slope = ridge * w - differences.T @ miss / len(miss)
-        bend = (differences * (miss * (1 - miss))[:, None]).T @ differences / len(miss) + ridge * np.eye(len(w))
-        step = np.linalg.solve(bend, slope)
-        size = 1.0
-        while size > 1e-6 and loss(w - size * step) > now:
+        step, size = np.linalg.solve(bend, slope), 1.0
+        # What the order of the sums changes is rounded away, so equal tables give equal weights.
+        next_w = np.round(w - step, 9)
+        after, slope, bend = at(next_w)
+        while after > now and size > 1e-6:
             size /= 2
-        w = w - size * step
-        after = loss(w)
-        if now - after < 1e-10:
+            next_w = np.round(w - size * step, 9)
+            after, slope, bend = at(next_w)
+        if after > now:
+            break
+        w, gain, now = next_w, now - after, after
+        if gain < 1e-10:
             break
-        now = after
     return w
 
 
+def learn(differences: np.ndarray, ridge: float, steps: int = 50) -> np.ndarray:
+    """Weights of least mean logistic loss on the differences winner - loser."""
+    return _newton(lambda w: _terms(differences, w), differences.shape[1], ridge, steps)
+
+
+def learn_pairs(pairs: DataFrame, ridge: float, steps: int = 50) -> np.ndarray:
+    """The same on a column of differences; a pass brings one row of sums of each task to the driver."""
+    width = len(FEATURES)
+
+    def terms(w: np.ndarray) -> np.ndarray:
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = np.zeros(2 + width + width**2)
+            for batch in batches:
+                found += _terms(np.asarray(batch.column(0).flatten(), float).reshape(-1, width), w)
+            yield pa.RecordBatch.from_arrays([pa.array([found.tolist()], pa.list_(pa.float64()))], ["sums"])
+
+        return np.sum([r["sums"] for r in pairs.mapInArrow(add, "sums array<double>").collect()], 0)
+
+    ship(pairs.sparkSession)
+    return _newton(terms, width, ridge, steps)
+
+
+def _numbered(rows: DataFrame, totals: dict[int, int]) -> DataFrame:
+    """`rows` with their place `at` among those of their label, in the order of a hash; numbered in blocks."""
+    place = F.xxhash64("key", *FEATURES)
+    blocks = -(-sum(totals.values()) // BLOCK)
+    rows = rows.withColumn("place", place).withColumn("block", F.pmod("place", F.lit(blocks)))
+    starts, before = [], dict.fromkeys(totals, 0)
+    # A row for each label and block.
+    for r in sorted(rows.groupBy("label", "block").agg(F.count("*").alias("n")).collect()):
+        starts.append((r["label"], r["block"], before[r["label"]]))
+        before[r["label"]] += r["n"]
+    first = F.broadcast(rows.sparkSession.createDataFrame(starts, "label int, block long, first long"))
+    inside = F.row_number().over(Window.partitionBy("label", "block").orderBy("place", "key")) - 1
+    return rows.withColumn("inside", inside).join(first, ["label", "block"]).withColumn("at", F.col("first") + F.col("inside"))
+
+
+def pair(rows: DataFrame, totals: dict[int, int], x: Column, pairs: int, seed: int) -> DataFrame:
+    """Differences of `x`, good - bad. Each document of the commoner label meets `pairs` of the other, by shifted places."""
+    many = int(totals[1] >= totals[0])
+    few = totals[1 - many]
+    shifts = np.random.default_rng(seed).integers(few) + np.arange(pairs) * max(1, few // pairs)
+    numbered = _numbered(rows, totals).select("label", "at", x.alias("x"))
+    shift = F.explode(F.array(*(F.lit(int(n)) for n in shifts)))
+    ours = numbered.filter(F.col("label") == many).select("at", F.col("x").alias("ours"), shift.alias("shift"))
+    ours = ours.select("ours", F.pmod(F.col("at") + F.col("shift"), F.lit(few)).alias("at"))
+    theirs = numbered.filter(F.col("label") != many).select("at", F.col("x").alias("theirs"))
+    sign = 1 if many else -1
+    return ours.join(theirs, "at").select(F.zip_with("ours", "theirs", lambda a, b: ((a - b) * sign).cast("float")).alias("difference"))
+
+
 def threshold(good: np.ndarray, bad: np.ndarray, share_bad: float) -> float:
     """The quantile of all labelled scores that parts the labels best.
 
@@ -180,13 +247,41 @@ def threshold(good: np.ndarray, bad: np.ndarray, share_bad: float) -> float:
     return float((values[cut - 1] + values[cut]) / 2)
 
 
-def fit(found: DataFrame, labels: DataFrame, *, key: str = "doc_id", label: str = "quality", sample: int = 20_000, pairs: int = 8, ridge: float = 1e-3, at: float = 0.3, seed: int = 1) -> Model:
-    """Learns from `found` (of `features`) and the 0/1 column `label` of `labels`; both classes up to `sample` documents."""
+def _origin(scores: DataFrame) -> float:
+    """`threshold` over all of `scores` (label, s), at the borders of bins; rows of one bin are not parted."""
+    low, high = scores.agg(F.min("s"), F.max("s")).first()
+    if low == high:
+        return low
+    number = F.least(F.floor((F.col("s") - low) / (high - low) * BINS), F.lit(BINS - 1))
+    bins = scores.groupBy(number.alias("bin")).agg(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0), F.min("s"), F.max("s"))
+    _, good, bad, lowest, highest = np.array(bins.orderBy("bin").collect(), float).T
+    errors = np.concatenate([[0], np.cumsum(good / good.sum())]) + 1 - np.concatenate([[0], np.cumsum(bad / bad.sum())])
+    below = np.concatenate([[0], np.cumsum(good + bad)]) / (good + bad).sum()
+    best = np.flatnonzero(errors <= errors.min() + 1e-12)
+    cut = int(np.clip(np.searchsorted(below, (below[best[0]] + below[best[-1]]) / 2), 1, len(good) - 1))
+    return float((highest[cut - 1] + lowest[cut]) / 2)
+
+
+def _fit_all(rows: DataFrame, totals: dict[int, int], pairs: int, ridge: float, at: float, seed: int) -> Model:
+    moments = rows.agg(*(f(c) for c in FEATURES for f in (F.avg, F.stddev_pop))).first()
+    centre, scale = np.round(moments[::2], 9), np.maximum(np.round(moments[1::2], 9), 1e-6)
+    clip = (F.lit(-_CLIP), F.lit(_CLIP))
+    x = [F.greatest(clip[0], F.least(clip[1], (F.col(c) - m) / s)) for c, m, s in zip(FEATURES, centre.tolist(), scale.tolist())]
+    weights = learn_pairs(keep(pair(rows, totals, F.array(*x), pairs, seed), "pairs"), ridge)
+    score = sum((w * column for w, column in zip(weights.tolist(), x)), F.lit(0.0))
+    origin = _origin(keep(rows.select("label", score.alias("s")), "scores"))
+    return Model(tuple(centre.tolist()), tuple(scale.tolist()), tuple(weights.tolist()), origin, at)
+
+
+def fit(found: DataFrame, labels: DataFrame, *, key: str = "doc_id", label: str = "quality", sample: int | None = None, pairs: int = 8, ridge: float = 1e-3, at: float = 0.3, seed: int = 1) -> Model:
+    """Learns from `found` (of `features`) and the 0/1 column `label` of `labels`: all of them, or `sample` of each class."""
     known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).filter("key IS NOT NULL AND label IN (0, 1)").distinct()
     rows = keep(found.join(known, "key"), "labelled")
     totals = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
         return UNKNOWN
+    if sample is None:
+        return _fit_all(rows, totals, pairs, ridge, at, seed)
     order = [F.xxhash64(F.col("key"), *FEATURES), F.col("key")]
     good, bad = (np.array(rows.filter(F.col("label") == value).orderBy(*order).select(*FEATURES).limit(sample).collect(), float) for value in (1, 0))
     both = np.concatenate([good, bad])
