@@ -149,3 +149,29 @@ def test_wide_ids_and_gaps_survive_storage():
         filled = np.array([[-1, 0, size - 1] + [7] * (attention.WIDTH - 2)])
         column = pa.array([w.tobytes() for w in filled.astype(lm_scoring._stored(size))], pa.binary())
         assert (lm_scoring._filled(column, size) == filled).all()
+
+
+def test_counts_of_ids_are_a_few_rows_of_each_partition(spark):
+    texts = corpus()[:60]
+    ids = Ids(WORD_BPE)
+    size = lm_scoring.tokenizer(WORD_BPE).get_vocab_size()
+    told = lm_scoring.tally(documents(spark, texts).repartition(3).select("text"), WORD_BPE, size, size - 1, 1).persist()
+    want = np.zeros((attention.GROUPS, size))
+    for _, t in texts:
+        flat = np.append(ids.of(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0].astype(np.int64), size - 1)
+        np.add.at(want, (attention.group_of(np.append(size - 1, flat[:-1])), flat), 1)
+    assert (lm_scoring._pairs(told, size) == want).all()
+    rows = told.filter(told.kind == lm_scoring._PAIRS).count()
+    assert 0 < rows <= 3 * attention.GROUPS * -(-size // lm_scoring._SLICE) and rows < (want > 0).sum() / 2
+
+
+def test_a_step_moves_only_symbols_that_occur_and_counts_them():
+    v = small_vocabulary()
+    p = attention.fresh(v)
+    before = p["embed"].copy()
+    ids = np.random.default_rng(2).integers(0, 300, (4, attention.WIDTH + 1)) // 9
+    inputs = attention.model_inputs(v.symbol, v.classes, ids)
+    g, rows, values, n = attention.sparse_gradient(p, *inputs)
+    attention.Adam(0.01).update(p, g, rows, values)
+    assert (n == np.bincount(inputs[0].ravel())[rows]).all() and n.sum() == inputs[0].size
+    assert set(np.flatnonzero((p["embed"] != before).any(1))) == set(rows)

@@ -79,26 +79,31 @@ def fresh(vocabulary: Vocabulary, seed: int = 1) -> dict[str, np.ndarray]:
 
 
 def logits(p: dict[str, np.ndarray], symbols: np.ndarray) -> tuple[np.ndarray, dict]:
-    """Unnormalised log probabilities of the next id's class at each scored place, and what `gradient` needs."""
-    x = p["embed"][symbols]
-    late = x[:, CONTEXT:]
-    q, k, v = late @ p["query"], x @ p["key"], x @ p["value"]
+    """Unnormalised log probabilities of the next id's class at each scored place, and what `sparse_gradient` needs."""
+    count, kind = len(symbols), p["out"].dtype
+    x = p["embed"].take(symbols.ravel(), 0)
+    query = p["query"] * kind.type(SIZE**-0.5)
+    q, k, v = ((x @ w).reshape(count, WIDTH, SIZE) for w in (query, p["key"], p["value"]))
+    q = q[:, CONTEXT:]
     weight = q @ k.transpose(0, 2, 1)
-    weight *= _F(SIZE**-0.5)
-    weight += p["away"][_AWAY]
     np.clip(weight, -20, 20, out=weight)
     np.exp(weight, out=weight)
-    weight *= _SEEN
-    total = weight.sum(2, keepdims=True)
-    seen = (weight @ v) / total
-    out = np.concatenate([seen, late], 2).reshape(-1, 2 * SIZE) @ p["out"]
-    out += p["bias"]
-    np.clip(out, -60, 60, out=out)  # far beyond what training reaches; keeps the exponentials finite
-    return out, {"x": x, "q": q, "k": k, "v": v, "weight": weight, "total": total, "seen": seen}
+    weight *= np.exp(np.clip(p["away"], -20, 20))[_AWAY] * _SEEN
+    total = (weight.reshape(-1, WIDTH) @ np.ones(WIDTH, kind)).reshape(count, SCORED, 1)
+    # What was seen, the place's own vector, and 1 for the bias.
+    state = np.ones((count, SCORED, 2 * SIZE + 1), kind)
+    np.matmul(weight, v, out=state[:, :, :SIZE])
+    state[:, :, :SIZE] /= total
+    state[:, :, SIZE:-1] = x.reshape(count, WIDTH, SIZE)[:, CONTEXT:]
+    after = np.concatenate([p["out"], p["bias"][None]])
+    out = state.reshape(-1, 2 * SIZE + 1) @ after
+    if max(state.max(), -state.min()) * np.abs(after).sum(0).max() > 60:  # else no logit can be beyond 60
+        np.clip(out, -60, 60, out=out)  # far beyond what training reaches; keeps the exponentials finite
+    return out, {"x": x, "query": query, "q": q, "k": k, "v": v, "weight": weight, "total": total, "state": state}
 
 
 def forward(p: dict[str, np.ndarray], symbols: np.ndarray) -> tuple[np.ndarray, dict]:
-    """Log probabilities (natural) of all classes at each scored place; and what `gradient` needs."""
+    """Log probabilities (natural) of all classes at each scored place; and what `sparse_gradient` needs."""
     out, c = logits(p, symbols)
     out -= np.log(np.exp(out).sum(1, keepdims=True))
     return out, c
@@ -106,66 +111,90 @@ def forward(p: dict[str, np.ndarray], symbols: np.ndarray) -> tuple[np.ndarray,
 
 def gradient(p: dict[str, np.ndarray], symbols: np.ndarray, targets: np.ndarray, live: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
     """Gradient of the mean negative log probability of `targets` (classes) where `live`, and that mean."""
-    g, rows, values, loss = sparse_gradient(p, symbols, targets, live)
+    g, rows, values, _ = sparse_gradient(p, symbols, targets, live)
     g["embed"] = np.zeros_like(p["embed"])
     g["embed"][rows] = values
-    return g, loss
-
-
-def sparse_gradient(p: dict[str, np.ndarray], symbols: np.ndarray, targets: np.ndarray, live: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, float]:
-    """As `gradient`, with that of "embed" apart: the symbols that occur, and their rows."""
-    log_p, c = forward(p, symbols)
-    n = max(1, int(live.sum()))
-    flat, use = targets.ravel(), live.ravel().astype(_F)
-    rows = np.arange(len(flat))
-    loss = float(-(log_p[rows, flat] * use).sum() / n)
-    d_logits = np.exp(log_p)
-    d_logits[rows, flat] -= 1
-    d_logits *= (use / n)[:, None]
-    x, late = c["x"], c["x"][:, CONTEXT:]
-    state = np.concatenate([c["seen"], late], 2).reshape(-1, 2 * SIZE)
-    g = {"out": state.T @ d_logits, "bias": d_logits.sum(0)}
-    d_state = (d_logits @ p["out"].T).reshape(*c["q"].shape[:2], 2 * SIZE)
-    share = c["weight"] / c["total"]
-    d_seen = d_state[:, :, :SIZE]
-    d_share = d_seen @ c["v"].transpose(0, 2, 1)
-    d_score = share * (d_share - (d_share * share).sum(2, keepdims=True))
-    g["away"] = np.bincount(_AWAY.ravel(), d_score.sum(0).ravel(), WIDTH).astype(_F)
-    d_score *= _F(SIZE**-0.5)
-    d_q, d_k, d_v = d_score @ c["k"], d_score.transpose(0, 2, 1) @ c["q"], share.transpose(0, 2, 1) @ d_seen
-    d_x = d_k @ p["key"].T + d_v @ p["value"].T
-    d_x[:, CONTEXT:] += d_q @ p["query"].T + d_state[:, :, SIZE:]
-    for name, of, d in (("query", late, d_q), ("key", x, d_k), ("value", x, d_v)):
-        g[name] = of.reshape(-1, SIZE).T @ d.reshape(-1, SIZE)
-    return g, *_sum(symbols, d_x), loss
-
-
-def _sum(symbols: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols that occur, and the sum of the values of each."""
+    log_p, _ = forward(p, symbols)
+    chosen = log_p[np.arange(targets.size), targets.ravel()]
+    return g, float(-(chosen * live.ravel()).sum() / max(1, int(live.sum())))
+
+
+def sparse_gradient(p: dict[str, np.ndarray], symbols: np.ndarray, targets: np.ndarray, live: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """The gradient alone, with that of "embed" apart: the symbols that occur, their rows, and how often each occurs."""
+    odds, c = logits(p, symbols)
+    count, kind, n = len(symbols), odds.dtype, max(1, int(live.sum()))
+    np.exp(odds, out=odds)
+    whole = odds @ np.ones(CLASSES, kind)
+    # Each row of `odds` times its `scale` is the gradient of the logits; the narrow factors are scaled in its place.
+    odds.reshape(-1)[np.arange(0, odds.size, CLASSES) + targets.ravel()] -= whole
+    scale = (live.ravel() / (n * whole)).astype(kind)[:, None]
+    state = c["state"].reshape(-1, 2 * SIZE + 1)
+    d_out = (state * scale).T @ odds
+    g = {"out": d_out[:-1], "bias": d_out[-1]}
+    d_state = odds @ p["out"].T
+    d_state *= scale
+    d_state = d_state.reshape(count, SCORED, 2 * SIZE)
+    # A weight's share of its row comes in as 1 / total; the mean over a row's shares is what was seen.
+    d_seen = d_state[:, :, :SIZE] / c["total"]
+    mean = (d_seen * c["state"][:, :, :SIZE]).reshape(-1, SIZE) @ np.ones(SIZE, kind)
+    d_score = d_seen @ c["v"].transpose(0, 2, 1)
+    d_score -= mean.reshape(count, SCORED, 1)
+    d_score *= c["weight"]
+    g["away"] = np.bincount(_AWAY.ravel(), d_score.sum(0).ravel(), WIDTH).astype(kind)
+    d_q = (d_score @ c["k"]).reshape(-1, SIZE)
+    d_k = (d_score.transpose(0, 2, 1) @ c["q"]).reshape(-1, SIZE)
+    d_v = (c["weight"].transpose(0, 2, 1) @ d_seen).reshape(-1, SIZE)
+    g["query"] = state[:, SIZE:-1].T @ d_q
+    g["query"] *= kind.type(SIZE**-0.5)
+    g["key"], g["value"] = c["x"].T @ d_k, c["x"].T @ d_v
+    d_x = d_k @ p["key"].T
+    d_x += d_v @ p["value"].T
+    late = (d_q @ c["query"].T).reshape(count, SCORED, SIZE)
+    late += d_state[:, :, SIZE:]
+    d_x.reshape(count, WIDTH, SIZE)[:, CONTEXT:] += late
+    return g, *_sum(symbols, d_x)
+
+
+def _sum(symbols: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The symbols that occur, the sum of the values of each, and how often each occurs."""
     flat = symbols.ravel()
     order = np.argsort(flat, kind="stable")
-    first = np.flatnonzero(np.diff(flat[order], prepend=-1))
-    return flat[order][first], np.add.reduceat(values.reshape(-1, SIZE)[order], first)
+    ordered = flat.take(order)
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    pairs = np.add.reduceat(values.view(np.result_type(values, np.complex64)).take(order, 0), first)  # two numbers at a time
+    return ordered[first], pairs.view(values.dtype), np.diff(first, append=len(flat))
 
 
 class Adam:
     """Rows of "embed" move, and their moments decay, only in steps in which their symbols occur."""
 
     def __init__(self, rate: float):
-        self.rate, self.step, self.one, self.two = rate, 0, {}, {}
+        self.rate, self.step, self.moments = rate, 0, []
 
     def update(self, p: dict[str, np.ndarray], g: dict[str, np.ndarray], rows: np.ndarray, values: np.ndarray) -> None:
         self.step += 1
+        rest = np.concatenate([d.ravel() for d in g.values()])
+        if not self.moments:
+            self.moments = [np.zeros((2, *p["embed"].shape), _F), np.zeros((2, rest.size), _F)]
+        of_rows, of_rest = self.moments
+        one, two = (np.concatenate([of_rows[i].take(rows, 0).ravel(), of_rest[i]]) for i in (0, 1))
+        step, split = self._step(one, two, np.concatenate([values.ravel(), rest])), values.size
+        for i, moment in enumerate((one, two)):
+            of_rows[i][rows], of_rest[i] = moment[:split].reshape(values.shape), moment[split:]
+        p["embed"][rows] = p["embed"].take(rows, 0) - step[:split].reshape(values.shape)
         for name, d in g.items():
-            self._move(p, name, slice(None), d)
-        self._move(p, "embed", rows, values)
+            p[name] -= step[split : split + d.size].reshape(d.shape)
+            split += d.size
 
-    def _move(self, p: dict[str, np.ndarray], name: str, at: slice | np.ndarray, d: np.ndarray) -> None:
-        if name not in self.one:
-            self.one[name], self.two[name] = np.zeros_like(p[name]), np.zeros_like(p[name])
-        one = self.one[name][at] = _F(0.9) * self.one[name][at] + _F(0.1) * d
-        two = self.two[name][at] = _F(0.99) * self.two[name][at] + _F(0.01) * d * d
-        p[name][at] -= (self.rate * (one / (1 - 0.9**self.step)) / (np.sqrt(two / (1 - 0.99**self.step)) + 1e-8)).astype(_F)
+    def _step(self, one: np.ndarray, two: np.ndarray, d: np.ndarray) -> np.ndarray:
+        """Moves the moments in place; how far the parameters go."""
+        one *= _F(0.9)
+        one += _F(0.1) * d
+        two *= _F(0.99)
+        two += _F(0.01) * d * d
+        below = np.sqrt(two * _F(1 / (1 - 0.99**self.step)))
+        below += _F(1e-8)
+        return one * _F(self.rate / (1 - 0.9**self.step)) / below
 
 
 def windows_of(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,7 +214,7 @@ def fill(flat: np.ndarray, starts: np.ndarray, first: np.ndarray, text: np.ndarr
 
 def model_inputs(symbol: np.ndarray, classes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, target classes and which targets exist, of filled windows."""
-    symbols = np.where(ids[:, :-1] >= 0, symbol[ids[:, :-1]], len(symbol))
+    symbols = np.where(ids[:, :-1] >= 0, symbol[ids[:, :-1]], len(symbol)).astype(np.min_scalar_type(len(symbol)))
     targets = ids[:, CONTEXT + 1 :]
     return symbols, classes[targets].astype(np.int64), targets >= 0
 
@@ -194,14 +223,20 @@ def score(p: dict[str, np.ndarray], vocabulary: Vocabulary, flat: np.ndarray, st
     """log10 probability of each text."""
     out = np.zeros(len(starts) - 1)
     first, text = windows_of(starts)
-    for i in range(0, len(first), batch):
-        ids, _ = fill(flat, starts, first[i : i + batch], text[i : i + batch])
+    each = np.empty(len(first))
+    one = np.ones(CLASSES, p["out"].dtype)
+    shares, size = vocabulary.log_share.reshape(-1), vocabulary.log_share.shape[1]
+    for begin in range(0, len(first), 2048):
+        block = slice(begin, begin + 2048)
+        ids, _ = fill(flat, starts, first[block], text[block])
         symbols, classes, live = model_inputs(vocabulary.symbol, vocabulary.classes, ids)
-        found, _ = logits(p, symbols)
-        chosen = found[np.arange(len(found)), classes.ravel()]
-        np.exp(found, out=found)
-        log_p = (chosen - np.log(found.sum(1))).reshape(live.shape)
-        share = vocabulary.log_share[group_of(ids[:, CONTEXT:-1]), ids[:, CONTEXT + 1 :]]
-        each = log_p + share
-        np.add.at(out, text[i : i + batch], (each * live).sum(1, dtype=np.float64))
+        log_p = np.empty(live.shape, one.dtype)
+        for i in range(0, len(ids), batch):
+            found, _ = logits(p, symbols[i : i + batch])
+            chosen = found[np.arange(len(found)), classes[i : i + batch].ravel()]
+            np.exp(found, out=found)
+            log_p[i : i + batch] = (chosen - np.log(found @ one)).reshape(-1, SCORED)
+        log_p += shares[group_of(ids[:, CONTEXT:-1]) * size + ids[:, CONTEXT + 1 :]]
+        each[block] = (log_p * live).sum(1, dtype=np.float64)
+    np.add.at(out, text, each)
     return out / np.log(10)

@@ -28,13 +28,15 @@ from pyspark.sql import types as T
 
 from tidelog.llm import attention
 from tidelog.llm.attention import SIZE, WIDTH, Adam, Vocabulary
-from tidelog.llm.buffers import U64, blocks, spans, sums, words
+from tidelog.llm.buffers import U64, blocks, flat as buffer, spans, sums, words
 from tidelog.llm.scratch import keep, ship
 from tidelog.llm.vocab import Ids, Table, tokenizer
 
 #: Key of the end token among the hashes of words.
 END = U64(0x5BF03635DEE4C8A7)
 _WORDS, _PAIRS, _WINDOWS = range(3)
+#: Ids that one row of counts of ids covers.
+_SLICE = 1 << 12
 _ids: dict[str, Ids] = {}
 _scorers: dict[str, tuple] = {}
 
@@ -73,22 +75,58 @@ def _stored(size: int) -> str:
 
 def _filled(column: pa.Array, size: int) -> np.ndarray:
     kind = np.dtype(_stored(size))
-    ids = np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, WIDTH + 1).astype(np.int64)
+    ids = buffer(column)[0].view(kind).reshape(-1, WIDTH + 1).astype(np.int64)
     ids[ids == np.iinfo(kind).max] = -1
     return ids
 
 
+def _binary(rows: np.ndarray) -> pa.Array:
+    """Each row of a table of numbers as one binary value."""
+    starts = np.arange(len(rows) + 1, dtype=np.int32) * np.int32(rows.itemsize * rows.shape[1])
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(starts), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _counts(pairs: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Of a table of counts of ids by group: slices of a group's row, each as its ids above 0 and their counts."""
+    slices = -(-pairs.shape[1] // _SLICE)
+    for key in range(len(pairs) * slices):
+        part = pairs[key // slices, key % slices * _SLICE :][:_SLICE]
+        if len(some := np.flatnonzero(part)):
+            yield key, np.stack([some, part[some]]).astype("<u4").tobytes()
+
+
+def _pairs(told: DataFrame, size: int) -> np.ndarray:
+    """Counts of ids by group over all partitions; at most GROUPS x size numbers reach the driver."""
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, key = np.zeros(_SLICE, np.int64), None
+        for batch in batches:
+            key = batch.column(0)[:1]
+            for raw in batch.column(1):
+                at, n = np.frombuffer(raw.as_buffer(), "<u4").reshape(2, -1)
+                total[at] += n
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([key, _binary(some.astype("<u4")[None]), _binary(total[some].astype("<i8")[None])], ["key", "at", "n"])
+
+    counted = told.filter(F.col("kind") == _PAIRS).select("key", "ids").groupBy("key").applyInArrow(added, "key long, at binary, n binary").toArrow()
+    slices = -(-size // _SLICE)
+    pairs = np.zeros((attention.GROUPS, size))
+    for key, at, n in zip(*(column.to_pylist() for column in counted.columns)):
+        pairs[key // slices, key % slices * _SLICE + np.frombuffer(at, "<u4").astype(np.int64)] = np.frombuffer(n, "<i8")
+    return pairs
+
+
 def tally(docs: DataFrame, path: str, size: int, end_id: int, train_every: int) -> DataFrame:
     """kind, key, n, ids: what the training documents (`text` of `docs`) hold, one row per partition and key."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, pairs, counted, held, passed = _encoder(path), np.zeros((attention.GROUPS, size), np.int32), [], 0, 0
 
-        def rows(kind: int, keys: np.ndarray, n: np.ndarray, windows: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        def rows(kind: int, keys: np.ndarray, n: np.ndarray, binary: pa.Array | None = None) -> Iterator[pa.RecordBatch]:
             for i in range(0, len(keys), 100_000):
                 part = slice(i, i + 100_000)
-                binary = [w.tobytes() for w in windows[part]] if windows is not None else [None] * len(keys[part])
-                columns = [pa.array(np.full(len(keys[part]), kind, np.int32)), pa.array(keys[part].astype(np.uint64).view(np.int64)), pa.array(n[part].astype(np.int64)), pa.array(binary, pa.binary())]
+                held = pa.nulls(len(keys[part]), pa.binary()) if binary is None else binary[part]
+                columns = [pa.array(np.full(len(keys[part]), kind, np.int32)), pa.array(keys[part].astype(np.uint64).view(np.int64)), pa.array(n[part].astype(np.int64)), held]
                 yield pa.RecordBatch.from_arrays(columns, ["kind", "key", "n", "ids"])
 
         for batch in batches:
@@ -105,16 +143,17 @@ def tally(docs: DataFrame, path: str, size: int, end_id: int, train_every: int)
                 flat, at = _with_end(ids, data, starts, end_id)
                 before = np.concatenate([[end_id], flat[:-1]])
                 before[at[:-1]] = end_id
-                np.add.at(pairs.reshape(-1), attention.group_of(before) * size + flat, 1)
+                np.add.at(pairs.reshape(-1), attention.group_of(before) * size + flat, np.int32(1))  # of the same type: else several times slower
                 first, text = attention.windows_of(at)
                 chosen = np.arange(-passed % train_every, len(first), train_every)
                 passed += len(first)
                 filled, _ = attention.fill(flat, at, first[chosen], text[chosen])
-                yield from rows(_WINDOWS, np.arange(len(chosen)) + passed, np.ones(len(chosen)), filled.astype(_stored(size)))
+                yield from rows(_WINDOWS, np.arange(len(chosen)) + passed, np.ones(len(chosen)), _binary(filled.astype(_stored(size))))
         if counted:
             yield from rows(_WORDS, *_merged(counted))
-        some = np.flatnonzero(pairs.reshape(-1))
-        yield from rows(_PAIRS, some, pairs.reshape(-1)[some])
+        if found := list(_counts(pairs)):
+            keys, binary = zip(*found)
+            yield from rows(_PAIRS, np.array(keys), np.ones(len(keys)), pa.array(binary, pa.binary()))
 
     ship(docs.sparkSession)
     return docs.select("text").mapInArrow(count, "kind int, key long, n long, ids binary")
@@ -152,10 +191,11 @@ def train(windows: DataFrame, vocabulary: Vocabulary, *, rounds: int, rate: floa
             for batch in batches:
                 ids = _filled(batch.column(0), len(symbol))
                 ids = ids[np.random.default_rng(seen).permutation(len(ids))]
+                inputs = attention.model_inputs(symbol, classes, ids)
                 for i in range(0, len(ids), batch_size):
-                    inputs = attention.model_inputs(symbol, classes, ids[i : i + batch_size])
-                    optimizer.update(own, *attention.sparse_gradient(own, *inputs)[:3])
-                    met += np.bincount(inputs[0].ravel(), minlength=len(met))
+                    g, rows, found, n = attention.sparse_gradient(own, *(x[i : i + batch_size] for x in inputs))
+                    optimizer.update(own, g, rows, found)
+                    met[rows] += n
                 seen += len(ids)
             if seen:
                 packed = _packed(own).astype(np.float64)
@@ -231,10 +271,7 @@ def score_texts(
     common = words_.filter(F.col("n") >= int(least)).toArrow()
     frequent = spark.sparkContext.broadcast((common["key"].to_numpy(), common["n"].to_numpy()))
 
-    counted = told.filter(F.col("kind") == _PAIRS).groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # at most GROUPS x size
-    pairs = np.zeros(attention.GROUPS * size)
-    pairs[counted["key"].to_numpy()] = counted["n"].to_numpy()
-    vocabulary = Vocabulary(pairs.reshape(attention.GROUPS, size))
+    vocabulary = Vocabulary(_pairs(told, size))
     p = train(told.filter(F.col("kind") == _WINDOWS), vocabulary, rounds=rounds, rate=rate)
     model = spark.sparkContext.broadcast((vocabulary, p))
 
